@@ -15,7 +15,7 @@ def profit_by(
     facts: DataFrame, by: Sequence[Column | str], revenue: Column, cost: Column
 ) -> DataFrame:
     """Revenue, cost, profit and margin per group, summed exactly as decimals."""
-    money = "decimal(18,2)"
+    money = "decimal(18,4)"
     sums = facts.groupBy(*by).agg(
         F.sum(revenue.cast(money)).alias("_revenue"), F.sum(cost.cast(money)).alias("_cost")
     )
@@ -103,7 +103,6 @@ def growth(
         next_period.alias("_next"),
     )
     leaves = F.col("_following").isNull() | (F.col("_following") != F.col("_next"))
-    last = pairs.agg(F.max(out).alias("_last"))
     present = marked.groupBy(out).agg(
         F.count_if(F.col("_nth") == 1).alias("new_users"),
         F.count(F.lit(1)).alias("active_users"),
@@ -116,10 +115,10 @@ def growth(
         out,
         *[F.coalesce(c, zero).alias(c) for c in ("new_users", "active_users", "churned_users")],
     )
-    # The period after the last one has not been observed.
-    return (
-        joined.join(F.broadcast(last), F.col(out) <= F.col("_last"), "left_semi")
-        .withColumn("net_new_users", F.col("new_users") - F.col("churned_users"))
+    # The period after the last one has not been observed yet.
+    last = pairs.agg(F.max(out)).scalar()
+    return joined.where(F.col(out) <= last).withColumn(
+        "net_new_users", F.col("new_users") - F.col("churned_users")
     )
 
 
