@@ -35,11 +35,10 @@ def duplicate_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def deduped_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order and line number."""
-    lines = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
-    )
-    return dedupe(lines, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    """One row per order and line number, the first by all its other columns."""
+    rest = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *rest)
+    return dedupe(lines, ["l_orderkey", "l_linenumber"], rest)
 
 
 def _base(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,9 +181,11 @@ _ROLLING = f"""
 
 ORACLES = {
     "dedupe": """
-        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
+        FROM lineitem
         QUALIFY row_number() OVER (
-          PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) = 1
+          PARTITION BY l_orderkey, l_linenumber
+          ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) = 1
     """,
     "duplicate_report": """
         SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
