@@ -2,62 +2,83 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from ..functions.conditions import QUALITY_FLOOR, QUALITY_THRESHOLDS
 
+TEXT, INT, LONG, DOUBLE = StringType(), IntegerType(), LongType(), DoubleType()
+FLAG, DAY, TIME = BooleanType(), DateType(), TimestampType()
+
 
-def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+def schema(**fields: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
 
 
-FILM = "film string, votes int, rating double, filmid string"
+FILM = schema(film=TEXT, votes=INT, rating=DOUBLE, filmid=TEXT)
 
-ACTOR_FILMS = _schema(f"actor string, actorid string, {FILM}, year int")
-ACTORS = _schema(
-    "actor string, actorid string, "
-    "films array<struct<film:string,votes:int,rating:double,filmid:string>>, "
-    "quality_class string, is_active boolean, this_year int"
+ACTOR_FILMS = schema(
+    actor=TEXT, actorid=TEXT, film=TEXT, votes=INT, rating=DOUBLE, filmid=TEXT, year=INT
+)
+ACTORS = schema(
+    actor=TEXT,
+    actorid=TEXT,
+    films=ArrayType(FILM),
+    quality_class=TEXT,
+    is_active=FLAG,
+    this_year=INT,
 )
-ACTORS_HISTORY = _schema(
-    "actor string, quality_class string, is_active boolean, "
-    "start_date int, end_date int, this_year int"
+ACTORS_HISTORY = schema(
+    actor=TEXT, quality_class=TEXT, is_active=FLAG, start_date=INT, end_date=INT, this_year=INT
 )
-PLAYERS = _schema("player_name string, season int, is_active boolean")
-GAME_DETAILS = _schema(
-    "game_id bigint, team_id bigint, team_abbreviation string, "
-    "player_id bigint, player_name string, pts int"
+PLAYERS = schema(player_name=TEXT, season=INT, is_active=FLAG)
+GAME_DETAILS = schema(
+    game_id=LONG, team_id=LONG, team_abbreviation=TEXT, player_id=LONG, player_name=TEXT, pts=INT
 )
-GAMES = _schema(
-    "game_id bigint, season int, game_date_est date, "
-    "home_team_id bigint, visitor_team_id bigint, home_team_wins int"
+GAMES = schema(
+    game_id=LONG,
+    season=INT,
+    game_date_est=DAY,
+    home_team_id=LONG,
+    visitor_team_id=LONG,
+    home_team_wins=INT,
 )
-WEB_EVENTS = _schema("user_id bigint, device_id bigint, host string, event_time string")
-DEVICES = _schema("device_id bigint, browser_type string")
-USER_DEVICES = _schema(
-    "user_id string, browser_type string, device_activity_date_list array<date>, date date"
+WEB_EVENTS = schema(user_id=LONG, device_id=LONG, host=TEXT, event_time=TEXT)
+DEVICES = schema(device_id=LONG, browser_type=TEXT)
+USER_DEVICES = schema(
+    user_id=TEXT, browser_type=TEXT, device_activity_date_list=ArrayType(DAY), date=DAY
 )
-HOSTS = _schema("host string, host_activity_datelist array<date>, c_date date")
-HOST_MONTHS = _schema(
-    "month_start date, host string, hit_array array<bigint>, unique_visitors_array array<bigint>"
+HOSTS = schema(host=TEXT, host_activity_datelist=ArrayType(DAY), c_date=DAY)
+HOST_MONTHS = schema(
+    month_start=DAY, host=TEXT, hit_array=ArrayType(LONG), unique_visitors_array=ArrayType(LONG)
 )
-MATCH_DETAILS = _schema(
-    "match_id string, player_gamertag string, player_total_kills int, player_total_deaths int"
+MATCH_DETAILS = schema(
+    match_id=TEXT, player_gamertag=TEXT, player_total_kills=INT, player_total_deaths=INT
 )
-MATCHES = _schema(
-    "match_id string, is_team_game boolean, playlist_id string, "
-    "completion_date timestamp, map_id string"
+MATCHES = schema(
+    match_id=TEXT, is_team_game=FLAG, playlist_id=TEXT, completion_date=TIME, map_id=TEXT
 )
-MATCH_MEDALS = _schema("match_id string, medal_id bigint, count int")
-MEDALS = _schema("medal_id bigint, name string")
-MAPS = _schema("map_id string, name string")
-STREAM_EVENTS = _schema("window_timestamp timestamp, ip string, host string")
-SESSIONS = _schema(
-    "session_start timestamp, session_end timestamp, ip string, host string, "
-    "events_in_session bigint"
+MATCH_MEDALS = schema(match_id=TEXT, medal_id=LONG, count=INT)
+MEDALS = schema(medal_id=LONG, name=TEXT)
+MAPS = schema(map_id=TEXT, name=TEXT)
+STREAM_EVENTS = schema(window_timestamp=TIME, ip=TEXT, host=TEXT)
+SESSIONS = schema(
+    session_start=TIME, session_end=TIME, ip=TEXT, host=TEXT, events_in_session=LONG
 )
-METRIC_AVERAGES = _schema("metric string, avg_events_per_session double")
-HOST_AVERAGES = _schema("host string, avg_events_per_session double")
+METRIC_AVERAGES = schema(metric=TEXT, avg_events_per_session=DOUBLE)
+HOST_AVERAGES = schema(host=TEXT, avg_events_per_session=DOUBLE)
 
 # Primary keys, checked with operators.quality.key_violations.
 KEYS = {
@@ -72,6 +93,6 @@ KEYS = {
 QUALITY_CLASSES = [name for name, _ in QUALITY_THRESHOLDS] + [QUALITY_FLOOR]
 
 
-def as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+def as_schema(df: DataFrame, wanted: StructType) -> DataFrame:
     """Columns of a schema in its order and types; a missing column is an error."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])

@@ -1,0 +1,208 @@
+"""Deduplication, roll-ups, leaders, and ordered work on hot keys."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import Window, functions as F
+from pyspark.testing import assertDataFrameEqual
+
+from daymark.operators.analytics import (
+    dedupe,
+    duplicate_report,
+    grouping_sets_rollup,
+    longest_streak,
+    team_results,
+    top_k,
+)
+from daymark.operators.hot import next_time, rolling_sum, running_sum, split_hot
+
+
+def test_dedupe_and_report(spark):
+    df = spark.createDataFrame(
+        [(1, 1, "b"), (1, 1, "a"), (1, 2, "c"), (None, 1, "d"), (None, 1, "e")],
+        "game int, player int, note string",
+    )
+    kept = dedupe(df, ["game", "player"], ["note"])
+    assert sorted(r.note for r in kept.collect()) == ["a", "c", "d"]
+    report = duplicate_report(df, ["game", "player"]).collect()
+    assert {(r.game, r.player): r.row_count for r in report} == {(1, 1): 2, (None, 1): 2}
+
+
+def test_top_k_puts_null_last_and_settles_ties(spark):
+    df = spark.createDataFrame(
+        [("c", 5), ("b", 5), ("a", None), ("d", 1)], "name string, points int"
+    )
+    assert [r.name for r in top_k(df, "points", 2, ["name"]).collect()] == ["b", "c"]
+    assert [r.name for r in top_k(df, "points", 4, ["name"]).collect()] == ["b", "c", "d", "a"]
+    with pytest.raises(ValueError):
+        top_k(df, "points", 1, [])
+
+
+def test_grouping_sets_count_each_game_once_per_team(spark):
+    df = spark.createDataFrame(
+        [
+            (1, "p", "t", 2000, 10, True),
+            (1, "q", "t", 2000, None, True),
+            (2, "p", "t", 2001, 5, False),
+            (3, "p", "u", 2001, 7, True),
+            (3, None, "u", 2001, 1, True),
+        ],
+        "game int, player string, team string, season int, pts int, won boolean",
+    )
+    sets = {
+        "player_team": ["player", "team"],
+        "player_season": ["player", "season"],
+        "team": ["team"],
+    }
+    result = grouping_sets_rollup(
+        df, sets, {"points": "pts"}, {"wins": ("team", "game", F.col("won"))}
+    )
+    rows = {(r.level, r.player, r.team, r.season): (r.points, r.wins) for r in result.collect()}
+    assert rows == {
+        ("player_team", "p", "t", None): (15, None),
+        ("player_team", "q", "t", None): (None, None),
+        ("player_team", "p", "u", None): (7, None),
+        ("player_team", None, "u", None): (1, None),
+        ("player_season", "p", None, 2000): (10, None),
+        ("player_season", "q", None, 2000): (None, None),
+        ("player_season", "p", None, 2001): (12, None),
+        ("player_season", None, None, 2001): (1, None),
+        ("team", None, "t", None): (15, 1),
+        ("team", None, "u", None): (8, 1),
+    }
+
+
+def test_team_results(spark):
+    games = spark.createDataFrame(
+        [(1, 10, 20, 1), (2, 10, 20, 0)], "game int, home int, visitor int, home_wins int"
+    )
+    rows = team_results(games, ["game"], "home", "visitor", "home_wins").collect()
+    assert sorted((r.game, r.team_id, r.win) for r in rows) == [
+        (1, 10, 1),
+        (1, 20, 0),
+        (2, 10, 0),
+        (2, 20, 1),
+    ]
+
+
+def skewed(spark, seed, kind="date", hot=300):
+    """One key with most of the rows, a few small ones, a NULL key and NULL order values."""
+    rng = random.Random(seed)
+    keys = ["hot"] * hot + [rng.choice(["a", "b", "c", None]) for _ in range(100)]
+    rows = []
+    for n, key in enumerate(keys):
+        # Dates crowd at the end, so slices hold very different numbers of rows.
+        offset = int(400 * rng.random() ** 0.2)
+        when = dt.date(2020, 1, 1) + dt.timedelta(days=offset)
+        if kind == "ts":
+            when = dt.datetime(2020, 1, 1) + dt.timedelta(hours=offset, minutes=rng.randrange(60))
+        if rng.random() < 0.02:
+            when = None
+        rows.append((key, when, n, rng.choice([0, 1, 2, None])))
+    kinds = {"date": "date", "ts": "timestamp_ntz"}
+    return spark.createDataFrame(rows, f"k string, at {kinds[kind]}, id int, v int").cache()
+
+
+def in_order():
+    return Window.partitionBy("k").orderBy(
+        F.col("at").asc_nulls_last(), F.col("id").asc_nulls_last()
+    )
+
+
+@pytest.mark.parametrize("max_rows", [7, 40, 1000])
+@pytest.mark.parametrize("kind", ["date", "ts"])
+def test_cells_follow_the_order(spark, max_rows, kind):
+    cut = split_hot(skewed(spark, 3, kind), ["k"], "at", max_rows).cache()
+    by_order = in_order()
+    back = cut.withColumn("before", F.lag("_cell").over(by_order)).where("before > _cell")
+    assert back.count() == 0 and cut.count() == 400
+    cells = cut.groupBy("k").agg(F.countDistinct("_cell").alias("n"), F.max("_hot").alias("h"))
+    for row in cells.collect():
+        assert row.h == (row.n > 1)
+    hot = cells.where("k = 'hot'").first()
+    assert hot.h == (max_rows < 300)
+
+
+@pytest.mark.parametrize("max_rows", [7, 40, 1000])
+@pytest.mark.parametrize("rows", [1, 2, 9, 60])
+def test_rolling_sum_equals_one_window(spark, max_rows, rows):
+    df = skewed(spark, rows)
+    frame = in_order().rowsBetween(1 - rows, 0)
+    expected = df.withColumn("s", F.sum("v").over(frame))
+    actual = rolling_sum(df, ["k"], ["at", "id"], "v", rows, "s", max_rows=max_rows)
+    assertDataFrameEqual(actual, expected)
+
+
+def test_rolling_sum_can_ask_for_full_windows(spark):
+    df = skewed(spark, 5)
+    frame = in_order().rowsBetween(-4, 0)
+    full = F.count(F.lit(1)).over(frame) == 5
+    expected = df.withColumn("s", F.when(full, F.sum("v").over(frame)))
+    actual = rolling_sum(df, ["k"], ["at", "id"], "v", 5, "s", min_rows=5, max_rows=20)
+    assertDataFrameEqual(actual, expected)
+
+
+@pytest.mark.parametrize("max_rows", [7, 40, 1000])
+def test_running_sum_equals_one_window(spark, max_rows):
+    df = skewed(spark, 6)
+    frame = in_order().rowsBetween(Window.unboundedPreceding, 0)
+    expected = df.withColumn("s", F.sum("v").over(frame))
+    assertDataFrameEqual(
+        running_sum(df, ["k"], ["at", "id"], "v", "s", max_rows=max_rows), expected
+    )
+
+
+@pytest.mark.parametrize("max_rows", [7, 40, 1000])
+def test_next_time_equals_one_window(spark, max_rows):
+    df = skewed(spark, 8, "ts").where("at is not null").withColumn("hit", F.col("v") == 2)
+    frame = (
+        Window.partitionBy("k")
+        .orderBy("at")
+        .rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    )
+    expected = df.withColumn("n", F.min(F.when(F.col("hit"), F.col("at"))).over(frame))
+    assertDataFrameEqual(next_time(df, ["k"], "at", "hit", "n", max_rows=max_rows), expected)
+
+
+def longest(values, over, skip):
+    best = run = 0
+    for v in values:
+        if v is None and skip:
+            continue
+        run = run + 1 if v is not None and v > over else 0
+        best = max(best, run)
+    return best or None
+
+
+@pytest.mark.parametrize("nulls", ["break", "skip"])
+@pytest.mark.parametrize("max_rows", [7, 40, 1000])
+@pytest.mark.parametrize("over", [-1, 0, 2])
+def test_longest_streak_equals_a_scan(spark, nulls, max_rows, over):
+    df = skewed(spark, 9)
+    actual = longest_streak(
+        df, ["k"], ["at", "id"], "v", over, "best", nulls=nulls, max_rows=max_rows
+    )
+    groups = {}
+    rows = sorted(df.collect(), key=lambda r: (r.at is None, r.at or dt.date.min, r.id))
+    for r in rows:
+        groups.setdefault(r.k, []).append(r.v)
+    assert {r.k: r.best for r in actual.collect()} == {
+        k: longest(v, over, nulls == "skip") for k, v in groups.items()
+    }
+
+
+def test_streak_does_not_treat_rows_of_one_date_as_one(spark):
+    day = dt.date(2020, 1, 1)
+    df = spark.createDataFrame(
+        [("p", day, 1, 20), ("p", day, 2, 5), ("p", day, 3, 30), ("p", day, 4, 11)],
+        "player string, day date, game int, pts int",
+    )
+    row = longest_streak(df, ["player"], ["day", "game"], "pts", 10).first()
+    assert row.longest_streak == 2
+
+
+def test_text_cannot_lead_the_order(spark):
+    df = spark.createDataFrame([("a", "x", 1)], "k string, o string, v int")
+    with pytest.raises(ValueError):
+        running_sum(df, ["k"], ["o"], "v", "s")
