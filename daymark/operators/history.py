@@ -18,20 +18,25 @@ from ..functions.conditions import (
 from .hot import MAX_ROWS, split_hot
 
 
-def entity_periods(
+def quiet_periods(
     facts: DataFrame, key: Sequence[str], period: str, first: int, last: int
 ) -> DataFrame:
-    """One row per entity and period, from its first period to ``last``.
+    """Entity and period for every period from ``first`` to ``last`` that has no facts,
+    after the entity's first fact.
 
-    The range condition ``first period <= period`` is written as a generated sequence per
-    entity, which needs no join.
+    The range condition is a generated sequence between one period with facts and the
+    next, which needs no join. A window holds at most one row per period.
     """
-    span = F.sequence(F.greatest(F.col("_start"), F.lit(first)), F.lit(last))
+    seen = (
+        facts.where(F.col(period) <= last)
+        .select(*key, F.greatest(F.col(period), F.lit(first - 1)).alias(period))
+        .distinct()
+    )
+    following = F.lead(period, 1, last + 1).over(Window.partitionBy(*key).orderBy(period))
     return (
-        facts.groupBy(*key)
-        .agg(F.min(period).alias("_start"))
-        .where(F.col("_start") <= last)
-        .select(*key, F.explode(span).alias(period))
+        seen.select(*key, (F.col(period) + 1).alias("_from"), (following - 1).alias("_to"))
+        .where(F.col("_from") <= F.col("_to"))
+        .select(*key, F.explode(F.sequence("_from", "_to")).alias(period))
     )
 
 
@@ -43,6 +48,42 @@ def lowest_id_per_name(facts: DataFrame, name: str, key: str) -> DataFrame:
     )
 
 
+def entity_period_status(
+    facts: DataFrame,
+    key: Sequence[str],
+    period: str,
+    order: str,
+    rating: str,
+    first: int,
+    last: int,
+    thresholds: Sequence[tuple[str, float]] = QUALITY_THRESHOLDS,
+    floor: str = QUALITY_FLOOR,
+    class_col: str = "quality_class",
+    active_col: str = "is_active",
+) -> DataFrame:
+    """Class and active flag of every entity in every period since its first.
+
+    The class comes from the rating of the period's last fact by ``order``. A period
+    without facts gets the lowest class and ``is_active = false``. This is the snapshot
+    without its items: plain aggregates, combined before the shuffle.
+    """
+    group = [*key, period]
+    active = (
+        facts.where(F.col(period).between(first, last))
+        .groupBy(*group)
+        .agg(F.max_by(rating, order).alias("_rating"))
+        .select(
+            *group,
+            classify(F.col("_rating"), thresholds, floor).alias(class_col),
+            F.lit(True).alias(active_col),
+        )
+    )
+    quiet = quiet_periods(facts, key, period, first, last).select(
+        *group, F.lit(floor).alias(class_col), F.lit(False).alias(active_col)
+    )
+    return active.unionByName(quiet)
+
+
 def entity_period_snapshot(
     facts: DataFrame,
     key: Sequence[str],
@@ -61,48 +102,47 @@ def entity_period_snapshot(
 ) -> DataFrame:
     """Items, class and active flag of every entity in every period since its first.
 
-    The class comes from the rating of the period's last item by ``item_order`` (a number,
-    date or timestamp, unique within an entity and period). A period without items gets an
-    empty array, the lowest class and ``is_active = false``.
+    The items are ordered by ``item_order`` (a number, date or timestamp, present and
+    unique within an entity and period), and the rating of the last one gives the class. A
+    period without items gets an empty array, the lowest class and ``is_active = false``.
 
-    Class and flag are plain aggregates, combined before the shuffle. The array is
-    gathered per (entity, period, part): ``part`` is 0 unless an entity has more than
-    ``max_items`` items in one period, whose array is then spread over several rows,
-    ordered by part, because one row could not hold it.
+    The array is gathered per (entity, period, part), the only shuffle of the items.
+    ``part`` is 0 unless an entity has more than ``max_items`` items in one period. Such an
+    array, which one row could not hold, is spread over several rows, ordered by part; all
+    of them carry the same class and flag.
     """
     group = [*key, period]
-    periods = entity_periods(facts, key, period, first, last)
     inside = facts.where(F.col(period).between(first, last))
-    struct = F.struct(F.col(item_order).alias("_order"), F.struct(*item).alias("_item"))
-    parts = (
-        split_hot(inside, group, item_order, max_items)
+    last_rating = F.max_by(rating, item_order)
+    entry = F.struct(F.col(item_order).alias("_order"), F.struct(*item).alias("_item"))
+    active = (
+        split_hot(inside, group, item_order, max_items, {"_hot_rating": last_rating})
         .groupBy(*group, F.col("_cell").alias("part"))
         .agg(
-            F.sort_array(F.collect_list(struct)).alias("_items"),
-            F.max(F.struct(F.col(item_order), F.col(rating))).alias("_last"),
+            F.sort_array(F.collect_list(entry)).alias("_items"),
+            last_rating.alias("_rating"),
+            F.max("_hot_rating").alias("_hot_rating"),
             F.max("_hot").alias("_hot"),
         )
-    )
-    # Parts of one group are few (see split_hot); only hot groups have more than one.
-    latest = F.max("_last").over(Window.partitionBy(*group))
-    return (
-        periods.join(parts.withColumn("_last", latest), group, "left")
+        .withColumn(
+            "_rating", F.when(F.col("_hot"), F.col("_hot_rating")).otherwise(F.col("_rating"))
+        )
         .select(
             *group,
-            F.coalesce(F.col("part"), F.lit(0).cast("bigint")).alias("part"),
-            F.coalesce(
-                F.transform("_items", lambda e: e["_item"]),
-                F.array().cast(_array_type(facts, item)),
-            ).alias(items_col),
-            classify(F.col(f"_last.{rating}"), thresholds, floor).alias(class_col),
-            F.col("part").isNotNull().alias(active_col),
+            "part",
+            F.transform("_items", lambda e: e["_item"]).alias(items_col),
+            classify(F.col("_rating"), thresholds, floor).alias(class_col),
+            F.lit(True).alias(active_col),
         )
     )
-
-
-def _array_type(df: DataFrame, columns: Sequence[str]) -> str:
-    fields = ",".join(f"`{c}`:{df.schema[c].dataType.simpleString()}" for c in columns)
-    return f"array<struct<{fields}>>"
+    quiet = quiet_periods(facts, key, period, first, last).select(
+        *group,
+        F.lit(0).cast("bigint").alias("part"),
+        F.array().cast(active.schema[items_col].dataType).alias(items_col),
+        F.lit(floor).alias(class_col),
+        F.lit(False).alias(active_col),
+    )
+    return active.unionByName(quiet)
 
 
 def accumulate_items(

@@ -14,7 +14,7 @@ adaptive execution drops their branches.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -55,9 +55,17 @@ def _axis(df: DataFrame, column: str) -> Column:
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], by: str, max_rows: int = MAX_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    by: str,
+    max_rows: int = MAX_ROWS,
+    totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Add ``_cell`` (0 for ordinary keys) and ``_hot`` to every row."""
+    """Add ``_cell`` (0 for ordinary keys) and ``_hot`` to every row.
+
+    ``totals`` are aggregates over a whole key, added to the rows of hot keys only.
+    """
+    totals = totals or {}
     axis = _axis(df, by)
     hot = (
         df.groupBy(*keys)
@@ -65,6 +73,7 @@ def split_hot(
             F.count(F.lit(1)).alias("_rows"),
             F.min(axis).alias("_low"),
             F.max(axis).alias("_high"),
+            *[total.alias(name) for name, total in totals.items()],
         )
         .where(F.col("_rows") > max_rows)
         .select(
@@ -72,6 +81,7 @@ def split_hot(
             "_low",
             (F.col("_high") - F.col("_low")).alias("_span"),
             F.ceil(F.col("_rows") * F.lit(SLICES) / F.lit(max_rows)).alias("_slices"),
+            *totals,
         )
     )
     share = F.coalesce(F.try_divide(axis - F.col("_low"), F.col("_span")), F.lit(0.0))

@@ -36,15 +36,17 @@ def missing_days(
     last: dt.date | str,
     out: str = "missing_day",
 ) -> DataFrame:
-    """Days of a range on which a key has no row. With no keys: days without any row."""
-    inside = day.between(day_literal(first), day_literal(last))
-    seen = df.where(inside).select(*keys, day.alias(out)).distinct()
-    all_days = F.explode(F.sequence(day_literal(first), day_literal(last))).alias(out)
-    if keys:
-        expected = df.select(*keys).distinct().select(*keys, all_days)
-    else:
-        expected = df.sparkSession.range(1).select(all_days)
-    return expected.join(seen, [*keys, out], "left_anti")
+    """Days of a range on which a key has no row. With no keys: days without any row.
+
+    A key's days are gathered after they have been made distinct, at most one per calendar
+    day, and taken from the full range within the row.
+    """
+    start, end = day_literal(first), day_literal(last)
+    seen = df.select(*keys, F.when(day.between(start, end), day).alias("_day")).distinct()
+    days = F.collect_list("_day")
+    return seen.groupBy(*keys).agg(days.alias("_days")).select(
+        *keys, F.explode(F.array_except(F.sequence(start, end), "_days")).alias(out)
+    )
 
 
 def outside_limits(

@@ -42,7 +42,12 @@ def deduped_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _base(spark: SparkSession, folder: str) -> DataFrame:
-    return game_details(spark, folder).join(games(spark, folder), "game_id")
+    """Player rows with their game. Names are made after the join, to shuffle less."""
+    names = {
+        "player_name": F.concat(F.lit("P"), "player_id"),
+        "team_abbreviation": F.concat(F.lit("T"), "team_id"),
+    }
+    return game_details(spark, folder).join(games(spark, folder), "game_id").withColumns(names)
 
 
 def _won() -> Column:

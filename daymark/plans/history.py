@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.history import (
     changed_records,
     entity_period_snapshot,
+    entity_period_status,
     new_records,
     scd2_backfill,
     scd2_increment,
@@ -22,12 +23,12 @@ KEY, PERIOD, TRACKED = ["customer_id"], "order_year", ["quality_class", "is_acti
 PRICE_CLASSES = [("star", 374_000.0), ("good", 251_000.0), ("average", 125_000.0)]
 
 
-def _snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    return entity_period_snapshot(
+def _yearly(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per customer and year, without the items."""
+    return entity_period_status(
         credits(spark, folder),
         KEY,
         PERIOD,
-        ["order_id", "price"],
         "order_id",
         "price",
         FIRST_YEAR,
@@ -36,11 +37,6 @@ def _snapshot(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _yearly(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per customer and year, without the items."""
-    return _snapshot(spark, folder).where(F.col("part") == 0).select(*KEY, PERIOD, *TRACKED)
-
-
 def _year(spark: SparkSession, folder: str, year: int) -> DataFrame:
     return _yearly(spark, folder).where(F.col(PERIOD) == year)
 
@@ -52,9 +48,19 @@ def _history(spark: SparkSession, folder: str, year: int) -> DataFrame:
 def entity_year_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Orders, price class and active flag of every customer and year."""
     ids = F.transform("items", lambda i: i["order_id"].cast("string"))
+    snapshot = entity_period_snapshot(
+        credits(spark, folder),
+        KEY,
+        PERIOD,
+        ["order_id", "price"],
+        "order_id",
+        "price",
+        FIRST_YEAR,
+        LAST_YEAR,
+        thresholds=PRICE_CLASSES,
+    )
     return (
-        _snapshot(spark, folder)
-        .withColumn("order_ids", F.concat_ws(",", ids))
+        snapshot.withColumn("order_ids", F.concat_ws(",", ids))
         .withColumn("order_count", F.size("items").cast("bigint"))
         .drop("items")
     )
