@@ -22,6 +22,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 MAX_ROWS = 10_000_000
 SLICES = 4
 
+# Types whose sums can be taken apart again without rounding.
+_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
+
 
 def ascending(order: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order]
@@ -32,11 +35,16 @@ def descending(order: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_first() for c in order]
 
 
-def lookup(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Broadcast join that also matches NULL keys and keeps only the keys of ``df``."""
-    renamed = small.withColumnsRenamed({c: f"_on_{c}" for c in on})
+def match_keys(df: DataFrame, other: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Join that also matches NULL keys and keeps only the keys of ``df``."""
+    renamed = other.withColumnsRenamed({c: f"_on_{c}" for c in on})
     match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
-    return df.join(F.broadcast(renamed), match, how).drop(*[f"_on_{c}" for c in on])
+    return df.join(renamed, match, how).drop(*[f"_on_{c}" for c in on])
+
+
+def lookup(df: DataFrame, bounded: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join with a broadcast table of bounded size (see the top of this module)."""
+    return match_keys(df, F.broadcast(bounded), on, "left")
 
 
 def _axis(df: DataFrame, column: str) -> Column:
@@ -130,7 +138,7 @@ def _borrowed_rows(
     tails = hot.withColumn("_back", F.row_number().over(back)).where(F.col("_back") <= count)
     limit = F.col("_end") - F.col("_back") + F.lit(count)
     return (
-        lookup(tails, cells, [*keys, "_cell"], "inner")
+        match_keys(tails, cells, [*keys, "_cell"], "inner")
         .withColumn("_to", F.explode(F.filter("_next", lambda c: c["start"] <= limit)))
         .withColumn("_cell", F.col("_to.cell"))
         .drop("_back", "_end", "_next", "_to")
@@ -156,13 +164,24 @@ def rolling_sum(
     if rows > 1:
         borrowed = _borrowed_rows(cut.where("_hot"), keys, order, rows - 1)
         cut = cut.unionByName(borrowed.withColumn("_own", F.lit(False)))
-    frame = (
-        Window.partitionBy(*keys, "_cell").orderBy(*ascending(order)).rowsBetween(1 - rows, 0)
-    )
-    total = F.sum(value).over(frame)
+    by_order = Window.partitionBy(*keys, "_cell").orderBy(*ascending(order))
+    if isinstance(df.schema[value].dataType, _EXACT):
+        # Running totals minus the totals ``rows`` rows earlier: one pass, where a sliding
+        # frame would add up all its rows again for every row.
+        so_far = by_order.rowsBetween(Window.unboundedPreceding, 0)
+        cut = cut.withColumns(
+            {"_sum": F.sum(value).over(so_far), "_count": F.count(value).over(so_far)}
+        )
+        earlier = {c: F.lag(c, rows).over(by_order) for c in ("_sum", "_count")}
+        gained = {c: F.col(c) - F.coalesce(e, F.lit(0)) for c, e in earlier.items()}
+        total = F.when(gained["_count"] > 0, gained["_sum"])
+    else:
+        total = F.sum(value).over(by_order.rowsBetween(1 - rows, 0))
     if min_rows > 1:
-        total = F.when(F.count(F.lit(1)).over(frame) >= min_rows, total)
-    return cut.withColumn(out, total).where("_own").drop("_cell", "_hot", "_own")
+        total = F.when(F.lag(F.lit(1), min_rows - 1).over(by_order) == 1, total)
+    return (
+        cut.withColumn(out, total).where("_own").drop("_cell", "_hot", "_own", "_sum", "_count")
+    )
 
 
 def running_sum(
@@ -208,9 +227,12 @@ def next_time(
 ) -> DataFrame:
     """Time of the first row at or after this one, in the same key, where ``wanted`` holds.
 
-    Takes one pass over ordered rows instead of joining every row with all later ones.
+    Takes one pass over ordered rows instead of joining every row with all later ones. Both
+    windows run backwards in time, because Spark recomputes a frame that ends at the last
+    row for every row.
     """
     cut = split_hot(df, keys, ts, max_rows)
+    from_last = Window.partitionBy(*keys).orderBy(F.desc("_cell"))
     hit = F.when(F.col(wanted), F.col(ts))
     later = (
         cut.where("_hot")
@@ -218,14 +240,14 @@ def next_time(
         .agg(F.min(hit).alias("_first"))
         .withColumn(
             "_later",
-            F.min("_first").over(_cell_window(keys).rowsBetween(1, Window.unboundedFollowing)),
+            F.min("_first").over(from_last.rowsBetween(Window.unboundedPreceding, -1)),
         )
         .drop("_first")
     )
     frame = (
         Window.partitionBy(*keys, "_cell")
-        .orderBy(F.col(ts).asc_nulls_last())
-        .rangeBetween(Window.currentRow, Window.unboundedFollowing)
+        .orderBy(F.col(ts).desc_nulls_first())
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = lookup(cut.withColumn("_local", F.min(hit).over(frame)), later, [*keys, "_cell"])
     return found.withColumn(out, F.coalesce("_local", "_later")).drop(

@@ -134,6 +134,15 @@ def test_rolling_sum_equals_one_window(spark, max_rows, rows):
     assertDataFrameEqual(actual, expected)
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(10,2)", "bigint"])
+def test_rolling_sum_of_other_types(spark, kind):
+    df = skewed(spark, 4).withColumn("v", F.col("v").cast(kind))
+    frame = in_order().rowsBetween(-6, 0)
+    expected = df.withColumn("s", F.sum("v").over(frame).cast("double"))
+    actual = rolling_sum(df, ["k"], ["at", "id"], "v", 7, "s", max_rows=20)
+    assertDataFrameEqual(actual.withColumn("s", F.col("s").cast("double")), expected)
+
+
 def test_rolling_sum_can_ask_for_full_windows(spark):
     df = skewed(spark, 5)
     frame = in_order().rowsBetween(-4, 0)
