@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution picks partition counts and splits skewed join sides at run time; the
@@ -38,12 +41,12 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only where that is unset, as in local tests, a temporary folder takes its place.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         folder = tempfile.mkdtemp(prefix="daymark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
@@ -56,3 +59,16 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, which outlives lost executors."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+@contextmanager
+def shared(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a result for several actions and release it after them.
+
+    Blocks that do not fit in memory go to disk, and lost ones are computed again.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

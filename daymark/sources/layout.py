@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import new_path
+from ..session import new_path, shared
 from .writers import sorted_write
 
 
@@ -38,9 +38,8 @@ def layout_report(df: DataFrame, sort_columns: Sequence[str], partitions: int =
     Even partitions sorted inside by a column with long runs compress better; the report
     shows by how much. The copies go to the shared folder.
     """
-    paths = {}
-    for column in sort_columns:
-        name = f"sorted_by_{column}"
-        paths[name] = new_path(df.sparkSession, name)
-        sorted_write(df, paths[name], column, partitions)
+    paths = {f"sorted_by_{c}": new_path(df.sparkSession, f"sorted_by_{c}") for c in sort_columns}
+    with shared(df) as rows:
+        for path, column in zip(paths.values(), sort_columns):
+            sorted_write(rows, path, column, partitions)
     return compare_layouts(df.sparkSession, paths)

@@ -151,6 +151,27 @@ def test_shared_folder_comes_from_the_session(spark):
     assert new_path(spark, "x") != new_path(spark, "x")
 
 
+def test_a_temporary_folder_serves_only_where_none_is_set():
+    class Context:
+        folder = None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        def __init__(self, folder):
+            self.sparkContext, self.conf = Context(), {"spark.checkpoint.dir": folder}
+
+    unset, cluster = Session(None), Session("hdfs:///shared")
+    folder = shared_folder(unset)
+    assert "daymark-" in folder and shared_folder(unset) == folder
+    assert shared_folder(cluster) == "hdfs:///shared"
+    assert cluster.sparkContext.folder == "hdfs:///shared"
+
+
 def test_round_trip_of_snapshot_types(spark, tmp_path):
     df = spark.createDataFrame(
         [("h", [day(2), day(1)], day(2))], schemas.HOSTS
