@@ -116,7 +116,7 @@ def entity_period_snapshot(
     last_rating = F.max_by(rating, item_order)
     entry = F.struct(F.col(item_order).alias("_order"), F.struct(*item).alias("_item"))
     active = (
-        split_hot(inside, group, item_order, max_items, {"_hot_rating": last_rating})
+        split_hot(inside, group, [item_order], max_items, {"_hot_rating": last_rating})
         .groupBy(*group, F.col("_cell").alias("part"))
         .agg(
             F.sort_array(F.collect_list(entry)).alias("_items"),

@@ -2,14 +2,14 @@
 
 A plain window sorts all rows of a key in one task. The functions here first find the
 keys with more than ``max_rows`` rows (one aggregation with map-side combine), and cut
-only those keys into *cells*: equal slices of the range of the leading order column.
-Cells of a key follow one another in order, so a window runs per (key, cell), and what a
-cell needs from the cells before it comes from a small summary.
-
-Size of what is broadcast: at most ``rows / max_rows`` hot keys and
-``SLICES * rows / max_rows + 1`` cells per hot key set. With the default that is one entry
-per 2.5 million rows, whatever the keys are. Without hot keys both tables are empty and
-adaptive execution drops their branches.
+only those keys into *cells*: consecutive slices of the range of the order columns. Cells
+of a key follow one another in order, so a window runs per (key, cell), and what a cell
+needs from the cells before it comes from a small summary.
+
+Size of what is broadcast: at most ``rows / max_rows`` hot keys, as many crowded slices, and
+one summary row per cell, of which there are about ``LEVELS * SLICES * rows / max_rows``.
+With the defaults that is one row per 0.8 million rows, whatever the keys are. Without hot keys
+these tables are empty and adaptive execution drops their branches.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 MAX_ROWS = 10_000_000
 SLICES = 4
+LEVELS = 3
+
+# Cells are numbered level by level; three levels of two million slices fill a bigint.
+CELL_BASE = 1 << 21
 
 # Types whose sums can be taken apart again without rounding.
 _EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
@@ -35,20 +39,19 @@ def descending(order: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_first() for c in order]
 
 
-def match_keys(df: DataFrame, other: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Join that also matches NULL keys and keeps only the keys of ``df``."""
-    renamed = other.withColumnsRenamed({c: f"_on_{c}" for c in on})
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
-    return df.join(renamed, match, how).drop(*[f"_on_{c}" for c in on])
+def _same_keys(keys: Sequence[str]) -> Column:
+    """Join condition of keys with their ``_on_`` copies, under which NULL keys match."""
+    return reduce(
+        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in keys]
+    )
 
 
-def lookup(df: DataFrame, bounded: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join with a broadcast table of bounded size (see the top of this module)."""
-    return match_keys(df, F.broadcast(bounded), on, "left")
+def _on(keys: Sequence[str]) -> list[Column]:
+    return [F.col(c).alias(f"_on_{c}") for c in keys]
 
 
-def _axis(df: DataFrame, column: str) -> Column:
-    """The column as a number that keeps its order (equal values give equal numbers)."""
+def _number(df: DataFrame, column: str) -> Column | None:
+    """The column as a number that keeps its order and equality; None for other types."""
     kind, value = df.schema[column].dataType, F.col(column)
     if isinstance(kind, T.DateType):
         return F.unix_date(value).cast("double")
@@ -57,50 +60,106 @@ def _axis(df: DataFrame, column: str) -> Column:
     if isinstance(kind, T.TimestampNTZType):
         clock = F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
         return (F.unix_date(value.cast("date")) * F.lit(86400.0)) + clock
-    if isinstance(kind, T.NumericType):
-        return value.cast("double")
-    raise ValueError(f"leading order column {column!r} must be a number, date or timestamp")
+    return value.cast("double") if isinstance(kind, T.NumericType) else None
 
 
-def split_hot(
+def _axes(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """The leading order columns that are numbers, dates or timestamps, as numbers."""
+    axes = []
+    for column in order:
+        number = _number(df, column)
+        if number is None:
+            break
+        axes.append(number)
+    if not axes:
+        raise ValueError(f"{order[0]!r} must be a number, date or timestamp to lead the order")
+    return axes
+
+
+def _slices(
     df: DataFrame,
-    keys: Sequence[str],
-    by: str,
-    max_rows: int = MAX_ROWS,
-    totals: Mapping[str, Column] | None = None,
+    groups: Sequence[str],
+    axes: Sequence[Column],
+    max_rows: int,
+    totals: Mapping[str, Column],
 ) -> DataFrame:
-    """Add ``_cell`` (0 for ordinary keys) and ``_hot`` to every row.
-
-    ``totals`` are aggregates over a whole key, added to the rows of hot keys only.
-    """
-    totals = totals or {}
-    axis = _axis(df, by)
-    hot = (
-        df.groupBy(*keys)
+    """Groups above ``max_rows`` rows: the first order column that tells their rows apart,
+    its range, and the number of slices to cut it into."""
+    stats = (
+        df.groupBy(*groups)
         .agg(
             F.count(F.lit(1)).alias("_rows"),
-            F.min(axis).alias("_low"),
-            F.max(axis).alias("_high"),
+            *[F.min(a).alias(f"_low{i}") for i, a in enumerate(axes)],
+            *[F.max(a).alias(f"_high{i}") for i, a in enumerate(axes)],
+            *[F.count(a).alias(f"_known{i}") for i, a in enumerate(axes)],
             *[total.alias(name) for name, total in totals.items()],
         )
         .where(F.col("_rows") > max_rows)
-        .select(
-            *keys,
-            "_low",
-            (F.col("_high") - F.col("_low")).alias("_span"),
-            F.ceil(F.col("_rows") * F.lit(SLICES) / F.lit(max_rows)).alias("_slices"),
-            *totals,
+    )
+    axis, low, span = F.lit(None).cast("int"), F.lit(None), F.lit(None)
+    for i in reversed(range(len(axes))):
+        known = F.col(f"_known{i}")
+        varies = (F.col(f"_high{i}") > F.col(f"_low{i}")) | (
+            (known > 0) & (known < F.col("_rows"))
         )
+        axis = F.when(varies, F.lit(i)).otherwise(axis)
+        low = F.when(varies, F.col(f"_low{i}")).otherwise(low)
+        span = F.when(varies, F.col(f"_high{i}") - F.col(f"_low{i}")).otherwise(span)
+    return stats.select(
+        *_on(groups),
+        axis.alias("_axis"),
+        low.cast("double").alias("_low"),
+        span.cast("double").alias("_span"),
+        F.ceil(F.col("_rows") * F.lit(SLICES) / F.lit(max_rows)).alias("_slices"),
+        *totals,
     )
-    share = F.coalesce(F.try_divide(axis - F.col("_low"), F.col("_span")), F.lit(0.0))
-    slice_no = F.least(F.floor(share * F.col("_slices")), F.col("_slices") - 1)
-    cell = F.when(F.col("_slices").isNull(), F.lit(0)).when(axis.isNull(), F.col("_slices"))
+
+
+def _slice_number(axes: Sequence[Column]) -> Column:
+    """Slice of a row in its group: 0 in ordinary groups, NULLs after all slices."""
+    value = F.lit(None).cast("double")
+    for i, axis in enumerate(axes):
+        value = F.when(F.col("_axis") == i, axis).otherwise(value)
+    share = F.coalesce(F.try_divide(value - F.col("_low"), F.col("_span")), F.lit(0.0))
+    number = F.least(F.floor(share * F.col("_slices")), F.col("_slices") - 1)
+    whole = F.col("_axis").isNull()
     return (
-        lookup(df, hot, keys)
-        .withColumn("_cell", cell.otherwise(slice_no).cast("bigint"))
-        .withColumn("_hot", F.col("_slices").isNotNull())
-        .drop("_low", "_span", "_slices")
+        F.when(whole, F.lit(0)).when(value.isNull(), F.col("_slices")).otherwise(number)
+    ).cast("bigint")
+
+
+def split_hot(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    max_rows: int = MAX_ROWS,
+    totals: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Add ``_cell`` (0 for ordinary keys) and ``_hot`` to every row.
+
+    Hot keys are sliced, and slices that still hold more than ``max_rows`` rows are sliced
+    again within their own range, ``LEVELS`` times in all: outliers, crowded times and a
+    single date with very many rows (told apart by the next order column) are spread as
+    well. ``totals`` are aggregates over a whole key, added to the rows of hot keys only.
+    """
+    totals = totals or {}
+    axes = _axes(df, order)
+    hot = _slices(df, keys, axes, max_rows, totals)
+    cut = df.join(F.broadcast(hot), _same_keys(keys), "left").select(
+        *df.columns,
+        *totals,
+        F.col("_slices").isNotNull().alias("_hot"),
+        _slice_number(axes).alias("_cell"),
     )
+    columns = [c for c in cut.columns if c != "_cell"]
+    for _ in range(LEVELS - 1):
+        groups = [*keys, "_cell"]
+        crowded = _slices(cut.where("_hot"), groups, axes, max_rows, {})
+        finer = F.col("_cell") * F.lit(CELL_BASE) + _slice_number(axes)
+        cut = cut.join(F.broadcast(crowded), _same_keys(groups), "left").select(
+            *columns, finer.alias("_cell")
+        )
+    return cut
 
 
 def _cell_window(keys: Sequence[str]):
@@ -116,32 +175,26 @@ def _borrowed_rows(
     before the shuffle). Cell sizes give their exact positions, and each is copied to those
     of the next cells that start close enough; usually that is one.
     """
+    by_cell = _cell_window(keys)
+    end = F.sum("_rows").over(by_cell.rowsBetween(Window.unboundedPreceding, 0))
+    cell = F.struct(F.col("_cell").alias("cell"), (F.col("_end") - F.col("_rows")).alias("start"))
     cells = (
         hot.groupBy(*keys, "_cell")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn(
+        .withColumn("_end", end)
+        .select(
+            *_on([*keys, "_cell"]),
             "_end",
-            F.sum("_rows").over(_cell_window(keys).rowsBetween(Window.unboundedPreceding, 0)),
-        )
-        .withColumn(
-            "_next",
-            F.collect_list(
-                F.struct(
-                    F.col("_cell").alias("cell"),
-                    (F.col("_end") - F.col("_rows")).alias("start"),
-                )
-            ).over(_cell_window(keys).rowsBetween(1, count)),
+            F.collect_list(cell).over(by_cell.rowsBetween(1, count)).alias("_next"),
         )
-        .drop("_rows")
     )
     back = Window.partitionBy(*keys, "_cell").orderBy(*descending(order))
     tails = hot.withColumn("_back", F.row_number().over(back)).where(F.col("_back") <= count)
     limit = F.col("_end") - F.col("_back") + F.lit(count)
-    return (
-        match_keys(tails, cells, [*keys, "_cell"], "inner")
-        .withColumn("_to", F.explode(F.filter("_next", lambda c: c["start"] <= limit)))
-        .withColumn("_cell", F.col("_to.cell"))
-        .drop("_back", "_end", "_next", "_to")
+    following = F.filter("_next", lambda c: c["start"] <= limit)
+    return tails.join(cells, _same_keys([*keys, "_cell"])).select(
+        *[c for c in hot.columns if c != "_cell"],
+        F.explode(F.transform(following, lambda c: c["cell"])).alias("_cell"),
     )
 
 
@@ -160,9 +213,10 @@ def rolling_sum(
     ``order`` must be a total order within a key. Early windows with fewer than ``rows``
     rows count as they are; with ``min_rows`` shorter ones give NULL.
     """
-    cut = split_hot(df, keys, order[0], max_rows).withColumn("_own", F.lit(True))
+    split = split_hot(df, keys, order, max_rows)
+    cut = split.withColumn("_own", F.lit(True))
     if rows > 1:
-        borrowed = _borrowed_rows(cut.where("_hot"), keys, order, rows - 1)
+        borrowed = _borrowed_rows(split.where("_hot"), keys, order, rows - 1)
         cut = cut.unionByName(borrowed.withColumn("_own", F.lit(False)))
     by_order = Window.partitionBy(*keys, "_cell").orderBy(*ascending(order))
     if isinstance(df.schema[value].dataType, _EXACT):
@@ -179,9 +233,8 @@ def rolling_sum(
         total = F.sum(value).over(by_order.rowsBetween(1 - rows, 0))
     if min_rows > 1:
         total = F.when(F.lag(F.lit(1), min_rows - 1).over(by_order) == 1, total)
-    return (
-        cut.withColumn(out, total).where("_own").drop("_cell", "_hot", "_own", "_sum", "_count")
-    )
+    kept = [c for c in df.columns if c != out]
+    return cut.select(*kept, total.alias(out), "_own").where("_own").drop("_own")
 
 
 def running_sum(
@@ -193,28 +246,27 @@ def running_sum(
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Sum of ``value`` up to and including the current row, per key (a ROWS frame)."""
-    cut = split_hot(df, keys, order[0], max_rows)
+    cut = split_hot(df, keys, order, max_rows)
+    earlier = F.sum("_sum").over(_cell_window(keys).rowsBetween(Window.unboundedPreceding, -1))
     before = (
         cut.where("_hot")
         .groupBy(*keys, "_cell")
         .agg(F.sum(value).alias("_sum"))
-        .withColumn(
-            "_before",
-            F.sum("_sum").over(_cell_window(keys).rowsBetween(Window.unboundedPreceding, -1)),
-        )
-        .drop("_sum")
+        .select(*_on([*keys, "_cell"]), earlier.alias("_before"))
     )
     frame = (
         Window.partitionBy(*keys, "_cell")
         .orderBy(*ascending(order))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    local = F.sum(value).over(frame)
-    summed = lookup(cut.withColumn("_local", local), before, [*keys, "_cell"])
+    local = cut.withColumn("_local", F.sum(value).over(frame))
     total = F.when(F.col("_before").isNull(), F.col("_local")).otherwise(
         F.col("_before") + F.coalesce(F.col("_local"), F.lit(0))
     )
-    return summed.withColumn(out, total).drop("_cell", "_hot", "_local", "_before")
+    kept = [c for c in df.columns if c != out]
+    return local.join(F.broadcast(before), _same_keys([*keys, "_cell"]), "left").select(
+        *kept, total.alias(out)
+    )
 
 
 def next_time(
@@ -231,27 +283,25 @@ def next_time(
     windows run backwards in time, because Spark recomputes a frame that ends at the last
     row for every row.
     """
-    cut = split_hot(df, keys, ts, max_rows)
+    cut = split_hot(df, keys, [ts], max_rows)
     from_last = Window.partitionBy(*keys).orderBy(F.desc("_cell"))
     hit = F.when(F.col(wanted), F.col(ts))
+    following = F.min("_first").over(from_last.rowsBetween(Window.unboundedPreceding, -1))
     later = (
         cut.where("_hot")
         .groupBy(*keys, "_cell")
         .agg(F.min(hit).alias("_first"))
-        .withColumn(
-            "_later",
-            F.min("_first").over(from_last.rowsBetween(Window.unboundedPreceding, -1)),
-        )
-        .drop("_first")
+        .select(*_on([*keys, "_cell"]), following.alias("_later"))
     )
     frame = (
         Window.partitionBy(*keys, "_cell")
         .orderBy(F.col(ts).desc_nulls_first())
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    found = lookup(cut.withColumn("_local", F.min(hit).over(frame)), later, [*keys, "_cell"])
-    return found.withColumn(out, F.coalesce("_local", "_later")).drop(
-        "_cell", "_hot", "_local", "_later"
+    found = cut.withColumn("_local", F.min(hit).over(frame))
+    kept = [c for c in df.columns if c != out]
+    return found.join(F.broadcast(later), _same_keys([*keys, "_cell"]), "left").select(
+        *kept, F.coalesce("_local", "_later").alias(out)
     )
 
 
@@ -269,7 +319,7 @@ def longest_run(
     cell is then summed up in its head run, tail run and best run, and runs that cross
     cells are put together from these.
     """
-    cut = split_hot(df, keys, order[0], max_rows)
+    cut = split_hot(df, keys, order, max_rows)
     cell_keys = [*keys, "_cell"]
     frame = (
         Window.partitionBy(*cell_keys)

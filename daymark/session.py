@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution picks partition counts and splits skewed join sides at run time; the
 # high initial count leaves it something to coalesce. Sessions are merged inside a task
-# before the shuffle. UTC keeps days and session borders the same on every machine.
+# before the shuffle. UTC keeps days and session borders the same on every machine. Recording
+# the Python call site of every expression doubles the time to build a plan.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,6 +21,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 

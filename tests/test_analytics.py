@@ -110,10 +110,46 @@ def in_order():
     )
 
 
+def crowded(spark, kind):
+    """A hot key with most rows at one time, an outlier far before, and NULL times."""
+    rows = []
+    for n in range(300):
+        when = dt.datetime(2020, 1, 1) + dt.timedelta(days=0 if n < 220 else n % 9)
+        if n == 0:
+            when = dt.datetime(1900, 1, 1)
+        rows.append(("hot", None if n % 20 == 1 else when, n, n % 3))
+    rows += [("a", dt.datetime(2020, 1, 1), n, 1) for n in range(100)]
+    schema = "k string, at timestamp_ntz, id int, v int"
+    df = spark.createDataFrame(rows, schema)
+    return df.withColumn("at", F.col("at").cast(kind)).cache()
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])
+def test_crowded_times_are_cut_by_the_next_column(spark, kind):
+    df = crowded(spark, kind)
+    cut = split_hot(df, ["k"], ["at", "id"], 20).cache()
+    sizes = cut.groupBy("k", "_cell").count()
+    # 219 rows share one time; the limit is met within a factor of two.
+    assert sizes.agg(F.max("count")).first()[0] <= 40
+    back = cut.withColumn("before", F.lag("_cell").over(in_order())).where("before > _cell")
+    assert back.count() == 0
+    expected = df.withColumn("s", F.sum("v").over(in_order().rowsBetween(-29, 0)))
+    actual = rolling_sum(df, ["k"], ["at", "id"], "v", 30, "s", max_rows=20)
+    assertDataFrameEqual(actual, expected)
+
+
+def test_one_date_beside_missing_dates_keeps_the_order(spark):
+    rows = [("k", None if n % 2 else dt.date(2020, 1, 1), n, 1) for n in range(60)]
+    df = spark.createDataFrame(rows, "k string, at date, id int, v int")
+    expected = df.withColumn("s", F.sum("v").over(in_order().rowsBetween(-99, 0)))
+    actual = rolling_sum(df, ["k"], ["at", "id"], "v", 100, "s", max_rows=5)
+    assertDataFrameEqual(actual, expected)
+
+
 @pytest.mark.parametrize("max_rows", [7, 40, 1000])
 @pytest.mark.parametrize("kind", ["date", "ts"])
 def test_cells_follow_the_order(spark, max_rows, kind):
-    cut = split_hot(skewed(spark, 3, kind), ["k"], "at", max_rows).cache()
+    cut = split_hot(skewed(spark, 3, kind), ["k"], ["at", "id"], max_rows).cache()
     by_order = in_order()
     back = cut.withColumn("before", F.lag("_cell").over(by_order)).where("before > _cell")
     assert back.count() == 0 and cut.count() == 400
