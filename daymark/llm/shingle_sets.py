@@ -6,6 +6,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,77 +42,114 @@ def sets(docs: DataFrame, size: int, tokens: bool = False) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(partial(_sets, size=size, tokens=tokens), schema)
 
 
-ENTRY = "bucket int, sent binary, owner binary, owners binary"
+ENTRY = "bucket int, slice long, kind int, codes binary, owners binary"
 
 
 def _entries(batches, size, buckets):
-    """Per slice and bucket: the lower half of the shingle hashes that stand in one row only."""
-    shift = np.uint64(24)
+    """Per slice of rows: one row per bucket with its hashes, and one with the slice's set names.
+
+    A hash that only one row of the slice holds comes with that row's place; one that several
+    hold comes once, without a place.
+    """
+    part, count = TaskContext.get().partitionId(), 0
     for batch in batches:
         for first, last, data, starts in K.text_slices(batch.column(0), 1 << 22):
             rows, hashed = K.shingles(data, starts, size)
-            _, sizes, a, _ = _named(rows, hashed, last - first)
-            low = hashed < np.uint64(1 << 63)
-            rows, hashed = rows[low], hashed[low]
             if not len(hashed):
                 continue
-            order = np.argsort(hashed, kind="stable")
+            _, _, names, _ = _named(rows, hashed, last - first)
+            order = np.argsort(hashed)
             rows, hashed = rows[order], hashed[order]
             new = np.ones(len(hashed) + 1, bool)
             new[1:-1] = hashed[1:] != hashed[:-1]
-            alone = (new[:-1] & new[1:])[new[:-1]]
             where = np.flatnonzero(new[:-1])
-            hashed, rows = hashed[where], np.where(alone, rows[where] + 1, 0)
-            bucket = ((hashed >> np.uint64(31)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            owner = np.where(new[1:][where], rows[where] + 1, 0).astype(np.uint32)
+            high = hashed[where] >> np.uint64(32)
+            bucket = (high * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            code = (hashed[where] >> np.uint64(8)).astype(np.uint32)
+            order = np.lexsort((owner, bucket))
+            owner, code = owner[order], code[order]
             bounds = np.searchsorted(bucket, np.arange(buckets + 1))
-            for k in np.flatnonzero(np.diff(bounds)):
-                part = slice(bounds[k], bounds[k + 1])
-                held, local = np.unique(rows[part], return_inverse=True)
-                code = hashed[part] >> shift
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([k], pa.int32()),
-                        pa.array([code.astype(np.uint32).tobytes() + (code >> np.uint64(32)).astype(np.uint8).tobytes()]),
-                        pa.array([local.astype(np.uint32 if len(held) > 65536 else np.uint16).tobytes()]),
-                        pa.array([np.where(held > 0, a[np.maximum(held - 1, 0)], np.uint64(0)).tobytes()
-                                  + (held > 0).astype(np.uint8).tobytes()]),
-                    ],
-                    ["bucket", "sent", "owner", "owners"],
-                )
+            content = int(K.mix(np.bitwise_xor.reduce(K.mix(names)) + np.uint64(part * 1_000_003 + count)))
+            count += 1
+            some = np.flatnonzero(np.diff(bounds))
+            kinds = [0] * len(some) + [1]
+            codes = [code[bounds[k] : bounds[k + 1]].tobytes() for k in some] + [names.tobytes()]
+            owners = [owner[bounds[k] : bounds[k + 1]].tobytes() for k in some] + [b""]
+            ids = np.full(len(kinds), content, np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*some.tolist(), content % buckets], pa.int32()), pa.array(K.signed(ids)), pa.array(kinds, pa.int32()),
+                 pa.array(codes, pa.binary()), pa.array(owners, pa.binary())],
+                ["bucket", "slice", "kind", "codes", "owners"],
+            )
+
+
+REPLY = "slice long, kind int, places binary, counts binary"
 
 
 def _alone(table: pa.Table) -> pa.Table:
-    """(node, alone): how many hashes of the bucket a set shares with no other slice or row."""
-    codes, owners, nodes, base = [], [], [], 0
-    for sent, owner, held in zip(*(table.column(c).to_pylist() for c in ("sent", "owner", "owners")), strict=True):
-        count = len(sent) // 5
-        low = np.frombuffer(sent, np.uint32, count).astype(np.uint64)
-        codes.append(low | np.frombuffer(sent, np.uint8, count, 4 * count).astype(np.uint64) << np.uint64(32))
-        names = len(held) // 9
-        name = np.frombuffer(held, np.uint64, names)
-        real = np.frombuffer(held, np.uint8, names, 8 * names) > 0
-        local = np.frombuffer(owner, np.uint32 if names > 65536 else np.uint16).astype(np.int64)
-        owners.append(np.where(real[local], base + local, -1))
-        nodes.append(name)
-        base += names
-    codes, owners, nodes = np.concatenate(codes), np.concatenate(owners), np.concatenate(nodes)
-    order = np.argsort(codes)
-    codes, owners = codes[order], owners[order]
-    new = np.ones(len(codes) + 1, bool)
-    new[1:-1] = codes[1:] != codes[:-1]
-    single = owners[new[:-1] & new[1:]]
-    counts = np.bincount(single[single >= 0], minlength=len(nodes))
-    some = np.flatnonzero(counts)
-    return pa.table({"node": K.signed(nodes[some]), "alone": counts[some].astype(np.int64)})
+    """Per slice: at which places how many hashes of this bucket stand that no other place has."""
+    slices, kinds, first, second = [], [], [], []
+    codes, owners, ids = [], [], []
+    columns = (table.column(c).to_pylist() for c in ("slice", "kind", "codes", "owners"))
+    for number, kind, code, owner in zip(*columns, strict=True):
+        if kind:
+            slices.append(number)
+            kinds.append(1)
+            first.append(code)
+            second.append(b"")
+        else:
+            codes.append(np.frombuffer(code, np.uint32))
+            owners.append(np.frombuffer(owner, np.uint32))
+            ids.append(number)
+    if codes:
+        which = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+        code, owner = np.concatenate(codes), np.concatenate(owners)
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+        new = np.ones(len(code) + 1, bool)
+        new[1:-1] = code[1:] != code[:-1]
+        single = np.sort(order[new[:-1] & new[1:]])
+        single = single[owner[single] > 0]
+        which, owner = which[single], owner[single]
+        bounds = np.searchsorted(which, np.arange(len(codes) + 1))
+        for k in np.flatnonzero(np.diff(bounds)):
+            place, count = np.unique(owner[bounds[k] : bounds[k + 1]], return_counts=True)
+            slices.append(ids[k])
+            kinds.append(0)
+            first.append(place.tobytes())
+            second.append(count.astype(np.uint16).tobytes() if count.max() < 65536 else count.astype(np.uint32).tobytes())
+    return pa.table({
+        "slice": pa.array(slices, pa.int64()), "kind": pa.array(kinds, pa.int32()),
+        "places": pa.array(first, pa.binary()), "counts": pa.array(second, pa.binary()),
+    })
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """(node, alone) of the sets of one slice."""
+    names, places, counts = None, [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
+    for kind, place, count in zip(*(table.column(c).to_pylist() for c in ("kind", "places", "counts")), strict=True):
+        if kind:
+            names = np.frombuffer(place, np.uint64)
+        else:
+            places.append(np.frombuffer(place, np.uint32))
+            counts.append(np.frombuffer(count, np.uint16 if 2 * len(count) == len(place) else np.uint32))
+    if names is None:
+        names = np.zeros(0, np.uint64)
+    total = np.bincount(np.concatenate(places), np.concatenate(counts), len(names) + 1).astype(np.int64)[1 : len(names) + 1]
+    some = np.flatnonzero(total)
+    return pa.table({"node": K.signed(names[some]), "alone": total[some]})
 
 
 def alone_counts(docs: DataFrame, size: int, buckets: int) -> DataFrame:
-    """(node, alone): per set, hashes of the lower half found in no other slice of rows.
+    """(node, alone): per set, how many of its hashes stand in no other row of the corpus.
 
-    Every row of the corpus takes part. A hash leaves a slice of rows once, however many rows
-    of the slice hold it, so a common shingle costs one entry per slice. Slices send 40 bits
-    of a hash to its bucket; a chance agreement there only makes ``alone`` smaller.
+    Every row takes part. A hash leaves a slice of rows once, however many rows of the slice
+    hold it, so a common shingle costs one entry per slice. Its bucket compares 32 more bits;
+    a chance agreement only makes ``alone`` smaller, and so does a slice that is made again
+    after a loss from rows in another order. Sets in several rows have nothing alone.
     """
     sent = docs.select("text").mapInArrow(partial(_entries, size=size, buckets=buckets), ENTRY)
-    counted = sent.groupBy("bucket").applyInArrow(_alone, "node long, alone long")
-    return counted.groupBy("node").agg(F.sum("alone").alias("alone"))
+    replies = sent.groupBy("bucket").applyInArrow(_alone, REPLY)
+    counted = replies.groupBy("slice").applyInArrow(_summed, "node long, alone long")
+    return counted.groupBy("node").agg(F.min("alone").alias("alone"))

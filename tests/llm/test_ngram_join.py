@@ -1,0 +1,81 @@
+from cases import awkward, component_of, documents, edited, prose, shingles
+
+from daymark.llm.components import components
+from daymark.llm.ngram_join import needed, ngram_components, trie_links
+
+
+def results(df):
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in df.collect()}
+
+
+def family(count=40):
+    texts = []
+    for f in range(6):
+        base = prose(f, 50 + 10 * f)
+        texts += [base] + [edited(base, 100 * f + k, 1 + k % 4) for k in range(count // 6)]
+    return texts + [prose(99, 30), "short text", "short text", "", None]
+
+
+def test_components_equal_all_pairs(spark):
+    texts = family()
+    got = results(ngram_components(documents(spark, texts), buckets=5))
+    expected = component_of(list(enumerate(texts)))
+    assert {k: v[1] for k, v in got.items()} == expected
+    assert {k: v[0] for k, v in got.items()} == {k: len(shingles(t)) for k, t in enumerate(texts)}
+
+
+def test_parts_of_a_large_block_meet(spark):
+    texts = family()
+    got = results(ngram_components(documents(spark, texts), buckets=5, trie_tokens=200))
+    assert {k: v[1] for k, v in got.items()} == component_of(list(enumerate(texts)))
+
+
+def test_awkward_rows(spark):
+    rows = [tuple(r) for r in ngram_components(awkward(spark), buckets=3).collect()]
+    assert len(rows) == 15
+    got = {r[0]: r[1:] for r in rows if r[0] is not None}
+    assert got[1][1] == got[2][1] == got[3][1] == 1
+    assert got[4] == (0, 4) and got[5] == (0, 5) and got[6] == (0, 6)
+    assert got[7] == (1, 7) and got[8] == (1, 7)
+    assert got[10] == (19996, 9) and got[11][1] == 11
+    assert sorted(r[1:] for r in rows if r[0] is None) == sorted([(got[1][0], 1), (0, None)], key=lambda x: x[0])
+
+
+def test_empty_table(spark):
+    assert ngram_components(documents(spark, [])).collect() == []
+
+
+def test_the_threshold_is_exact():
+    for n in range(1, 60):
+        for m in range(n, 60):
+            for o in range(n + 1):
+                assert (o >= needed(n, m, 75)) == (100 * o >= 75 * (n + m - o))
+
+
+def test_trie_finds_what_pairs_find():
+    import random
+
+    r = random.Random(3)
+    base = list(range(100))
+    sets = [tuple(sorted({*r.sample(base, 90), *r.sample(range(100, 200), k % 12)})) for k in range(60)]
+    links = trie_links(sets, [len(s) for s in sets], 75)
+    parent = list(range(60))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        assert 100 * len({*sets[a]} & {*sets[b]}) >= 75 * len({*sets[a]} | {*sets[b]})
+        parent[find(a)] = find(b)
+    for a in range(60):
+        for b in range(a):
+            if 100 * len({*sets[a]} & {*sets[b]}) >= 75 * len({*sets[a]} | {*sets[b]}):
+                assert find(a) == find(b)
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101), (7, 7)], "u long, v long")
+    got = {r["node"]: r["root"] for r in components(links).collect()}
+    assert got == {**{i: 0 for i in range(51)}, 100: 100, 101: 100}
