@@ -85,7 +85,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, segment_ids: int = SEG
             first = 0
             while first < len(texts):
                 last, length = first, 0
-                while last < len(texts) and (last == first or length < 1 << 20):
+                while last < len(texts) and (last == first or length < min(1 << 20, 2 * segment_ids)):
                     length += len(texts[last] or "")
                     last += 1
                 ids, counts = made.ids(texts[first:last])

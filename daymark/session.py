@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,6 +20,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -41,11 +43,14 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, from ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in local tests, a temporary folder takes its place.
+    Where that is unset, a local master gets a temporary folder; on a cluster, where each
+    machine would write to its own disk, this is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="daymark-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
