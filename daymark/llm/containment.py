@@ -40,11 +40,15 @@ def _hashes(size: int) -> str:
 
 
 def _texts(size: int) -> str:
-    """The distinct shingles themselves, joined by spaces."""
+    """The distinct shingles themselves, joined by spaces.
+
+    The words are bound to a name of their own: a filter on the result is moved below them by
+    the optimizer, which would otherwise split the text again for every shingle.
+    """
     return (
-        f"array_distinct(CASE WHEN size(w) >= {size} "
-        f"THEN transform(sequence(1, size(w) - {size} + 1), i -> array_join(slice(w, i, {size}), ' ')) "
-        f"WHEN size(w) > 0 THEN array(array_join(w, ' ')) ELSE cast(array() as array<string>) END)"
+        f"array_distinct(transform(array(w), v -> CASE WHEN size(v) >= {size} "
+        f"THEN transform(sequence(1, size(v) - {size} + 1), i -> array_join(slice(v, i, {size}), ' ')) "
+        f"WHEN size(v) > 0 THEN array(array_join(v, ' ')) ELSE cast(array() as array<string>) END)[0])"
     )
 
 

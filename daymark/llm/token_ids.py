@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from pathlib import Path
 
 import numpy as np
@@ -21,7 +23,7 @@ SEGMENT_IDS = 1 << 19
 #: Id that ends each document.
 END = 2
 #: Words whose ids a Python worker remembers between batches.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 SCHEMA = "part int, seq int, docs long, ids long, data binary"
 
 _words: dict = {}
@@ -30,29 +32,67 @@ _words: dict = {}
 class WordTokenizer:
     """Ids of whole texts from the ids of their words.
 
-    For tokenizers that drop white space and never join characters across it, so that the ids
-    of a text are those of its words in turn. Words are cut at ASCII white space only.
+    For tokenizers that drop white space, encode each stretch of letters and each stretch of
+    marks for itself, and end a stretch with an id whose token says so (``</w>``): the ids of a
+    text are those of its words in turn. Words are cut at ASCII white space only. New words of
+    plain letters, with or without marks behind them, are encoded many in one call and told
+    apart by the ids that end a stretch; all others are encoded one by one.
     """
 
+    PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž]+([.,;:!?]*)")
+    MARK = "</w>"
+
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known = _words.setdefault(zlib.crc32(definition.encode()), {})
+        self.known, self.last = _words.setdefault(zlib.crc32(definition.encode()), ({}, []))
+        if not self.last:
+            size = self.tokenizer.get_vocab_size()
+            self.last.append(np.array([(self.tokenizer.id_to_token(i) or "").endswith(self.MARK) for i in range(size)]))
+
+    def _encode(self, texts):
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def encoded(self, new: list[bytes]) -> dict:
+        """The ids of some words, as bytes of unsigned 32-bit numbers."""
+        found, plain, pieces, rest = {}, [], [], []
+        for w in new:
+            text = w.decode()
+            m = self.PLAIN.fullmatch(text)
+            if m:
+                plain.append(w)
+                pieces.append(2 if m[1] else 1)
+            else:
+                rest.append(w)
+        for k in range(0, len(plain), 5_000):
+            part = plain[k : k + 5_000]
+            ids = np.array(self._encode([b" ".join(part).decode()])[0].ids, np.uint32)
+            ends = np.flatnonzero(self.last[0][ids]) + 1
+            count = np.cumsum(pieces[k : k + 5_000])
+            if len(ends) != count[-1]:
+                rest += part
+                continue
+            raw, start = ids.tobytes(), 0
+            for w, end in zip(part, (4 * ends[count - 1]).tolist(), strict=True):
+                found[w] = raw[start:end]
+                start = end
+        for k in range(0, len(rest), 5_000):
+            part = rest[k : k + 5_000]
+            for w, e in zip(part, self._encode([w.decode() for w in part]), strict=True):
+                found[w] = array("I", e.ids).tobytes()
+        return found
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; how many each text has)."""
         split = [(t or "").encode().split() for t in texts]
         known = self.known
-        new = list({w for s in split for w in s if w not in known})
-        found = known if len(known) + len(new) <= REMEMBERED else dict(known)
-        for k in range(0, len(new), 10_000):
-            part = new[k : k + 10_000]
-            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            found.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(part, encoded, strict=True))
-        end = np.array([END], np.uint32).tobytes()
-        joined = [b"".join([found[w] for w in s]) + end for s in split]
+        found = self.encoded(list(set().union(*split).difference(known)))
+        if len(known) + len(found) <= REMEMBERED:
+            known.update(found)
+        end = array("I", [END]).tobytes()
+        joined = [b"".join([known[w] if w in known else found[w] for w in s]) + end for s in split]
         return np.frombuffer(b"".join(joined), np.uint32), np.array([len(j) // 4 for j in joined], np.int64)
 
 
