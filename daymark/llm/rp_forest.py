@@ -23,9 +23,9 @@ from .store import written
 SAMPLE = 20_000
 TREES = 8
 #: Sampled vectors in a leaf at most.
-LEAF = 128
+LEAF = 64
 #: Rows in the opened leaves of a query, counted once per tree, as a share of all rows.
-SEARCH = 0.8
+SEARCH = 1.0
 #: Rows, and queries, of a leaf that meet in one task at most (on average).
 MEETING = 20_000
 
@@ -193,7 +193,7 @@ def nearest(
         "tree", "leaf", F.expr("pmod(xxhash64(key), a)").alias("i"), F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("j"), "key", "embedding", "least"
     )
     right = probes.join(parts, ["tree", "leaf"]).select(
-        "tree", "leaf", F.explode(F.sequence(F.lit(0), F.col("a") - 1)).cast("long").alias("i"), F.expr("CAST(pmod(xxhash64(key), b) AS INT)").alias("j"), "key", "embedding"
+        "tree", "leaf", F.explode(F.expr("sequence(0L, CAST(a - 1 AS BIGINT))")).alias("i"), F.expr("CAST(pmod(xxhash64(key), b) AS INT)").alias("j"), "key", "embedding"
     )
 
     def met(a: pa.Table, b: pa.Table) -> pa.Table:
