@@ -22,9 +22,9 @@ from . import kernels as K
 BITS = 20
 SIZES = (4, 5)
 #: Buckets with the most telling counts that get a weight.
-FEATURES = 1 << 14
+FEATURES = 1 << 11
 #: Labelled rows that the regression sees at most (on average; chosen by a hash of doc_id).
-FIT_ROWS = 8_000
+FIT_ROWS = 16_000
 #: Labels up to this many rows may be sent to all executors; larger tables are shuffled.
 BROADCAST_LABELS = 2_000_000
 CHUNK = 1 << 14
@@ -135,7 +135,7 @@ def _chosen(batches, index, bits):
             yield pa.RecordBatch.from_arrays([K.long_lists(at.astype(np.int64), bounds), batch.column(1)[first : first + len(texts)]], ["features", "label"])
 
 
-def logistic(rows, cols, values, labels, width, ridge=1e-4, rounds=150):
+def logistic(rows, cols, values, labels, width, ridge=1e-4, rounds=300):
     """Weights and constant of ridge logistic regression by accelerated gradient steps.
 
     ``rows`` is sorted. The step comes from the largest eigenvalue, found by power iteration.

@@ -158,7 +158,8 @@ def set_links(rows: DataFrame, docs: DataFrame, size: int, share: int, buckets:
         F.expr(f"coalesce(alone, 0) * 100 <= n * {100 - share}")
     )
     kept = written(classes.select("doc_id", F.col("a").alias("node"), "n"), "classes")
-    text = docs.select(F.col("doc_id").cast("long"), "text").join(kept.select("doc_id"), "doc_id", "left_semi")
+    # The same join at every size: the ids kept grow with the corpus, so they are never sent to all.
+    text = docs.select(F.col("doc_id").cast("long"), "text").join(kept.select("doc_id").hint("merge"), "doc_id", "left_semi")
     named = sets(text, size, tokens=True).select(F.col("a").alias("node"), "n", F.explode("tokens").alias("token"))
     tokens = written(named, "tokens")
     shared = tokens.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
