@@ -15,7 +15,10 @@ from ..functions.conditions import (
     activity_state,
     classify,
 )
-from .hot import MAX_ROWS, split_hot
+from .hot import MAX_ROWS, running_sum
+
+# Items in one row of a snapshot.
+PART_ITEMS = 10_000
 
 
 def quiet_periods(
@@ -98,7 +101,8 @@ def entity_period_snapshot(
     items_col: str = "items",
     class_col: str = "quality_class",
     active_col: str = "is_active",
-    max_items: int = MAX_ROWS,
+    part_items: int = PART_ITEMS,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Items, class and active flag of every entity in every period since its first.
 
@@ -106,32 +110,26 @@ def entity_period_snapshot(
     unique within an entity and period), and the rating of the last one gives the class. A
     period without items gets an empty array, the lowest class and ``is_active = false``.
 
-    The array is gathered per (entity, period, part), the only shuffle of the items.
-    ``part`` is 0 unless an entity has more than ``max_items`` items in one period. Such an
-    array, which one row could not hold, is spread over several rows, ordered by part; all
-    of them carry the same class and flag.
+    Every group is cut alike: each ``part_items`` items in their order make a row, and
+    ``part`` counts these rows 0, 1, 2, ... within the entity and period. All of them carry
+    the same class and flag. The place of an item is an exact running count, which is spread
+    over cells where one group holds more than ``max_rows`` items.
     """
     group = [*key, period]
-    inside = facts.where(F.col(period).between(first, last))
-    last_rating = F.max_by(rating, item_order)
+    inside = facts.where(F.col(period).between(first, last)).withColumn("_one", F.lit(1))
+    placed = running_sum(inside, group, [item_order], "_one", "_place", max_rows)
     entry = F.struct(F.col(item_order).alias("_order"), F.struct(*item).alias("_item"))
+    last_rating = F.struct(F.col(item_order).alias("_order"), F.col(rating).alias("_rating"))
+    part = F.floor((F.col("_place") - 1) / F.lit(part_items)).cast("bigint")
     active = (
-        split_hot(inside, group, [item_order], max_items, {"_hot_rating": last_rating})
-        .groupBy(*group, F.col("_cell").alias("part"))
-        .agg(
-            F.sort_array(F.collect_list(entry)).alias("_items"),
-            last_rating.alias("_rating"),
-            F.max("_hot_rating").alias("_hot_rating"),
-            F.max("_hot").alias("_hot"),
-        )
-        .withColumn(
-            "_rating", F.when(F.col("_hot"), F.col("_hot_rating")).otherwise(F.col("_rating"))
-        )
+        placed.groupBy(*group, part.alias("part"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("_items"), F.max(last_rating).alias("_last"))
+        .withColumn("_last", F.max("_last").over(Window.partitionBy(*group)))
         .select(
             *group,
             "part",
             F.transform("_items", lambda e: e["_item"]).alias(items_col),
-            classify(F.col("_rating"), thresholds, floor).alias(class_col),
+            classify(F.col("_last._rating"), thresholds, floor).alias(class_col),
             F.lit(True).alias(active_col),
         )
     )
@@ -148,15 +146,19 @@ def entity_period_snapshot(
 def accumulate_items(
     snapshot: DataFrame, key: Sequence[str], period: str, items_col: str = "items"
 ) -> DataFrame:
-    """Replace each period's items by all items up to that period.
+    """Key, period and all items up to that period, in the order of periods and parts.
 
-    Reads one row per entity and period, so a window holds at most one row per period.
-    Meant for snapshots in a single part.
+    One row per entity and period, whatever the parts of the snapshot. The result repeats
+    earlier items in every later period by definition, so it is meant for entities whose
+    items fit in a row.
     """
+    entry = F.struct(F.col("part").alias("_part"), F.col(items_col).alias("_items"))
+    whole = F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["_items"])
     so_far = (
         Window.partitionBy(*key).orderBy(period).rowsBetween(Window.unboundedPreceding, 0)
     )
-    return snapshot.withColumn(items_col, F.flatten(F.collect_list(items_col).over(so_far)))
+    periods = snapshot.groupBy(*key, period).agg(F.flatten(whole).alias(items_col))
+    return periods.withColumn(items_col, F.flatten(F.collect_list(items_col).over(so_far)))
 
 
 def scd2_backfill(
@@ -167,15 +169,23 @@ def scd2_backfill(
     as_of: int,
     start_col: str = "start_date",
     end_col: str = "end_date",
+    gaps: str = "break",
 ) -> DataFrame:
     """Type-2 history up to ``as_of``: one row per stretch of unchanged tracked values.
 
+    A period without a row ends a stretch, as it does in the increment; ``gaps="bridge"``
+    looks at the previous row only, whatever the gap, and so claims the missing periods.
+
     The input holds one row per key and period, so a key's window has at most one row per
     period, and the grouping reuses the window's partitioning (one shuffle).
     """
     by_period = Window.partitionBy(*key).orderBy(period)
     first_row = F.row_number().over(by_period) == 1
     same = [F.col(c).eqNullSafe(F.lag(c).over(by_period)) for c in tracked]
+    if gaps not in ("break", "bridge"):
+        raise ValueError("gaps must be 'break' or 'bridge'")
+    if gaps == "break":
+        same.append(F.col(period) == F.lag(period).over(by_period) + 1)
     changed = F.when(first_row | reduce(lambda a, b: a & b, same), 0).otherwise(1)
     streak = F.sum("_changed").over(by_period.rowsBetween(Window.unboundedPreceding, 0))
     return (

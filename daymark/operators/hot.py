@@ -6,10 +6,10 @@ only those keys into *cells*: consecutive slices of the range of the order colum
 of a key follow one another in order, so a window runs per (key, cell), and what a cell
 needs from the cells before it comes from a small summary.
 
-Size of what is broadcast: at most ``rows / max_rows`` hot keys, as many crowded slices, and
-one summary row per cell, of which there are about ``LEVELS * SLICES * rows / max_rows``.
-With the defaults that is one row per 0.8 million rows, whatever the keys are. Without hot keys
-these tables are empty and adaptive execution drops their branches.
+The tables of hot keys and cells have about one row per 0.8 million rows with the defaults. They
+are joined without a hint, so Spark broadcasts them as long as their bytes allow it. Without hot
+keys they are empty and adaptive execution drops their branches. A key whose order begins with a
+text column has no range to cut and stays in one cell.
 """
 
 from __future__ import annotations
@@ -64,15 +64,16 @@ def _number(df: DataFrame, column: str) -> Column | None:
 
 
 def _axes(df: DataFrame, order: Sequence[str]) -> list[Column]:
-    """The leading order columns that are numbers, dates or timestamps, as numbers."""
+    """The leading order columns that are numbers, dates or timestamps, as numbers.
+
+    There are none if the order begins with another type; keys then stay whole.
+    """
     axes = []
     for column in order:
         number = _number(df, column)
         if number is None:
             break
         axes.append(number)
-    if not axes:
-        raise ValueError(f"{order[0]!r} must be a number, date or timestamp to lead the order")
     return axes
 
 
@@ -145,7 +146,7 @@ def split_hot(
     totals = totals or {}
     axes = _axes(df, order)
     hot = _slices(df, keys, axes, max_rows, totals)
-    cut = df.join(F.broadcast(hot), _same_keys(keys), "left").select(
+    cut = df.join(hot, _same_keys(keys), "left").select(
         *df.columns,
         *totals,
         F.col("_slices").isNotNull().alias("_hot"),
@@ -156,12 +157,19 @@ def split_hot(
         groups = [*keys, "_cell"]
         crowded = _slices(cut.where("_hot"), groups, axes, max_rows, {})
         finer = F.col("_cell") * F.lit(CELL_BASE) + _slice_number(axes)
-        cut = cut.join(F.broadcast(crowded), _same_keys(groups), "left").select(
+        cut = cut.join(crowded, _same_keys(groups), "left").select(
             *columns, finer.alias("_cell")
         )
     return cut
 
 
+def _sum_type(kind: T.DataType) -> T.DataType:
+    """The type that Spark gives the sum of a bigint or decimal column."""
+    if isinstance(kind, T.DecimalType):
+        return T.DecimalType(min(38, kind.precision + 10), kind.scale)
+    return T.LongType()
+
+
 def _cell_window(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy("_cell")
 
@@ -219,16 +227,25 @@ def rolling_sum(
         borrowed = _borrowed_rows(split.where("_hot"), keys, order, rows - 1)
         cut = cut.unionByName(borrowed.withColumn("_own", F.lit(False)))
     by_order = Window.partitionBy(*keys, "_cell").orderBy(*ascending(order))
-    if isinstance(df.schema[value].dataType, _EXACT):
+    kind = df.schema[value].dataType
+    if isinstance(kind, _EXACT):
         # Running totals minus the totals ``rows`` rows earlier: one pass, where a sliding
-        # frame would add up all its rows again for every row.
+        # frame would add up all its rows again for every row. The totals run over the whole
+        # cell, so they get more digits than the sums that are asked for.
+        added = F.col(value)
+        if isinstance(kind, T.LongType):
+            added = added.cast("decimal(38,0)")
+        elif isinstance(kind, T.DecimalType):
+            added = added.cast(T.DecimalType(38, kind.scale))
         so_far = by_order.rowsBetween(Window.unboundedPreceding, 0)
         cut = cut.withColumns(
-            {"_sum": F.sum(value).over(so_far), "_count": F.count(value).over(so_far)}
+            {"_sum": F.sum(added).over(so_far), "_count": F.count(value).over(so_far)}
         )
         earlier = {c: F.lag(c, rows).over(by_order) for c in ("_sum", "_count")}
         gained = {c: F.col(c) - F.coalesce(e, F.lit(0)) for c, e in earlier.items()}
         total = F.when(gained["_count"] > 0, gained["_sum"])
+        if isinstance(kind, (T.LongType, T.DecimalType)):
+            total = total.cast(_sum_type(kind))
     else:
         total = F.sum(value).over(by_order.rowsBetween(1 - rows, 0))
     if min_rows > 1:
@@ -264,7 +281,7 @@ def running_sum(
         F.col("_before") + F.coalesce(F.col("_local"), F.lit(0))
     )
     kept = [c for c in df.columns if c != out]
-    return local.join(F.broadcast(before), _same_keys([*keys, "_cell"]), "left").select(
+    return local.join(before, _same_keys([*keys, "_cell"]), "left").select(
         *kept, total.alias(out)
     )
 
@@ -300,7 +317,7 @@ def next_time(
     )
     found = cut.withColumn("_local", F.min(hit).over(frame))
     kept = [c for c in df.columns if c != out]
-    return found.join(F.broadcast(later), _same_keys([*keys, "_cell"]), "left").select(
+    return found.join(later, _same_keys([*keys, "_cell"]), "left").select(
         *kept, F.coalesce("_local", "_later").alias(out)
     )
 

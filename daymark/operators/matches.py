@@ -13,35 +13,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.conditions import ratio
 
-MAX_BROADCAST_ROWS = 500_000
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``dim`` with a broadcast hint if it has at most ``max_rows`` rows, else as it is.
-
-    Without the hint Spark joins by shuffle and splits skewed partitions at run time. The
-    count of a Parquet table reads file footers only.
-    """
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
-
-
 def prefixed(dim: DataFrame, prefix: str, key: str) -> DataFrame:
     """Dimension columns renamed with a prefix, except the key."""
     return dim.withColumnsRenamed({c: f"{prefix}_{c}" for c in dim.columns if c != key})
 
 
-def enrich(
-    facts: DataFrame,
-    dims: Sequence[tuple[DataFrame, str, str]],
-    max_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def enrich(facts: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
     """Facts joined with dimensions given as ``(frame, key, prefix)``.
 
-    Each dimension has one row per key, joins on that key, and is broadcast only within the
-    size limit.
+    Each dimension has one row per key and joins on that key. There is no hint: Spark
+    broadcasts a dimension if its bytes, known or measured at run time, are few enough, and
+    else shuffles both sides and splits skewed partitions.
     """
     for dim, key, prefix in dims:
-        facts = facts.join(broadcast_if_small(prefixed(dim, prefix, key), max_rows), key)
+        facts = facts.join(prefixed(dim, prefix, key), key)
     return facts
 
 
@@ -54,8 +39,7 @@ def salt_hot_keys(
     the row, and the key's lookup rows are repeated for each of them; all other keys have
     the single salt 0. Joining on (key, salt) gives the same rows as joining on the key. The
     hash depends on the row alone, so a task that runs again gives the same salts; identical
-    copies of a row share one, so deduplicate first where copies abound. At most one key per
-    ``max_rows`` fact rows is hot, which bounds the broadcast table.
+    copies of a row share one, so deduplicate first where copies abound.
     """
     hot = (
         facts.groupBy(key)
@@ -64,11 +48,11 @@ def salt_hot_keys(
         .select(key, F.ceil(F.col("_rows") / F.lit(max_rows)).alias("_salts"))
     )
     hashed = F.pmod(F.xxhash64(*facts.columns), F.col("_salts"))
-    salted_facts = facts.join(F.broadcast(hot), key, "left").withColumn(
+    salted_facts = facts.join(hot, key, "left").withColumn(
         salt_col, F.coalesce(hashed, F.lit(0).cast("bigint"))
     )
     salts = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    salted_lookup = lookup.join(F.broadcast(hot), key, "left").withColumn(
+    salted_lookup = lookup.join(hot, key, "left").withColumn(
         salt_col, F.explode(salts)
     )
     return salted_facts.drop("_salts"), salted_lookup.drop("_salts")
@@ -109,7 +93,7 @@ def medal_total(
     out: str,
 ) -> DataFrame:
     """Sum of the counts of the chosen medals per value of ``by`` (a column of matches)."""
-    chosen = broadcast_if_small(medals.where(condition).select(medal))
+    chosen = medals.where(condition).select(medal)
     per_match = (
         medal_counts.join(chosen, medal, "left_semi")
         .groupBy(match)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import activity, analytics, experiments, history, matches, quality, sessions
+from . import activity, analytics, experiments, history, matches, quality, sessions, stored
 
-MODULES = (activity, history, analytics, sessions, matches, quality, experiments)
+MODULES = (activity, history, analytics, sessions, matches, quality, experiments, stored)
 
 
 def queries() -> dict:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.dates import day_of
 from ..operators.analytics import (
     dedupe,
     duplicate_report,
@@ -35,59 +36,68 @@ def duplicate_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def deduped_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order and line number, the first by all its other columns."""
-    rest = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *rest)
-    return dedupe(lines, ["l_orderkey", "l_linenumber"], rest)
-
+    """One whole row per order and line number, the first by all its other columns."""
+    lines = table(spark, folder, "lineitem")
+    keys = ["l_orderkey", "l_linenumber"]
+    return dedupe(lines, keys, [c for c in lines.columns if c not in keys])
 
-def _base(spark: SparkSession, folder: str) -> DataFrame:
-    """Player rows with their game. Names are made after the join, to shuffle less."""
-    names = {
-        "player_name": F.concat(F.lit("P"), "player_id"),
-        "team_abbreviation": F.concat(F.lit("T"), "team_id"),
-    }
-    return game_details(spark, folder).join(games(spark, folder), "game_id").withColumns(names)
 
+def _points(spark: SparkSession, folder: str) -> DataFrame:
+    """Points by player, team and season, of all orders; every roll-up starts from these sums.
 
-def _won() -> Column:
-    winner = F.when(F.col("home_team_wins") == 1, F.col("home_team_id")).otherwise(
-        F.col("visitor_team_id")
+    Lines are summed per order first, so a large order is a few rows when it meets its season.
+    Names are made last, to shuffle less.
+    """
+    seasons = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("game_id"), F.year("o_orderdate").alias("season")
     )
-    return F.col("team_id") == winner
+    per_game = game_details(spark, folder).groupBy("game_id", "player_id", "team_id")
+    sums = (
+        per_game.agg(F.sum("pts").alias("pts"))
+        .join(seasons, "game_id")
+        .groupBy("player_id", "team_id", "season")
+        .agg(F.sum("pts").alias("pts"))
+    )
+    return sums.withColumns(
+        {
+            "player_name": F.concat(F.lit("P"), "player_id"),
+            "team_abbreviation": F.concat(F.lit("T"), "team_id"),
+        }
+    )
+
+
+def _team_wins(spark: SparkSession, folder: str) -> DataFrame:
+    """Games won by each team; a game has two teams and counts once."""
+    return _results(spark, folder).groupBy("team_id").agg(F.sum("win").alias("wins"))
 
 
 def grouping_sets_points(spark: SparkSession, folder: str) -> DataFrame:
     """Points by player and team, player and season, and team with games won."""
-    return grouping_sets_rollup(
-        _base(spark, folder), SETS, POINTS, {"wins": ("team", "game_id", _won())}
-    )
+    sums = grouping_sets_rollup(_points(spark, folder), SETS, POINTS)
+    wins = _team_wins(spark, folder).withColumn("level", F.lit("team"))
+    joined = sums.join(wins, ["level", "team_id"], "left")
+    won = F.when(F.col("level") == "team", F.coalesce("wins", F.lit(0)))
+    return joined.withColumn("wins", won)
 
 
 def top_player_team(spark: SparkSession, folder: str) -> DataFrame:
     """Most points of a player for one team."""
-    totals = rollup_level(_base(spark, folder), "player_team", SETS["player_team"], POINTS)
+    totals = rollup_level(_points(spark, folder), "player_team", SETS["player_team"], POINTS)
     best = top_k(totals, "total_pts", 1, ["player_name", "team_abbreviation"])
     return best.select("player_name", "team_abbreviation", "total_pts")
 
 
 def top_player_season(spark: SparkSession, folder: str) -> DataFrame:
     """Most points of a player in one season."""
-    totals = rollup_level(_base(spark, folder), "player_season", SETS["player_season"], POINTS)
+    totals = rollup_level(_points(spark, folder), "player_season", SETS["player_season"], POINTS)
     best = top_k(totals, "total_pts", 1, ["player_name", "season"])
     return best.select("player_name", "season", "total_pts")
 
 
 def top_team_wins(spark: SparkSession, folder: str) -> DataFrame:
-    """The team with most games won, counting each game once.
-
-    A team can win only games it has a row in, so the games it has rows in are counted.
-    """
-    totals = rollup_level(
-        _base(spark, folder), "team", SETS["team"], POINTS, {"wins": ("game_id", _won())}
-    )
-    best = top_k(totals, "wins", 1, ["team_abbreviation"])
-    return best.select("team_abbreviation", "wins")
+    """The team with most games won, counting each game once; points play no part."""
+    name = F.concat(F.lit("T"), "team_id").alias("team_abbreviation")
+    return top_k(_team_wins(spark, folder).select(name, "wins"), "wins", 1, ["team_abbreviation"])
 
 
 def _results(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,10 +138,11 @@ def running_wins(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def longest_streaks(spark: SparkSession, folder: str) -> DataFrame:
-    """Longest run of games over 10 points, of every player."""
-    rows = game_details(spark, folder).join(
-        games(spark, folder).select("game_id", "game_date"), "game_id"
+    """Longest run of games over 10 points, of every player, over all orders."""
+    dates = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("game_id"), day_of("o_orderdate").alias("game_date")
     )
+    rows = game_details(spark, folder).join(dates, "game_id")
     order = ["game_date", "game_id", "line_number", "team_id"]
     return longest_streak(rows, ["player_id"], order, "pts", STREAK_POINTS)
 
@@ -162,10 +173,13 @@ _GAMES = """
 _BASE = f"""
     {_GAMES},
     base AS (
-      SELECT games.*, l_partkey AS player_id, 'P' || l_partkey AS player_name,
+      SELECT l_orderkey AS game_id, CAST(year(o_orderdate) AS INTEGER) AS season,
+             CAST(o_orderdate AS DATE) AS game_date, home, visitor, home_won,
+             l_partkey AS player_id, 'P' || l_partkey AS player_name,
              l_suppkey AS team_id, 'T' || l_suppkey AS team_abbreviation,
              CAST(l_quantity AS INTEGER) AS pts, l_linenumber AS line_number
-      FROM lineitem JOIN games ON game_id = l_orderkey)
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+      LEFT JOIN games ON game_id = l_orderkey)
 """
 
 _WINS = """
@@ -186,11 +200,11 @@ _ROLLING = f"""
 
 ORACLES = {
     "dedupe": """
-        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
-        FROM lineitem
+        SELECT * FROM lineitem
         QUALIFY row_number() OVER (
           PARTITION BY l_orderkey, l_linenumber
-          ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) = 1
+          ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                   l_returnflag, l_linestatus, l_shipdate) = 1
     """,
     "duplicate_report": """
         SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem

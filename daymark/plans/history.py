@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.history import (
+    accumulate_items,
     changed_records,
     entity_period_snapshot,
     entity_period_status,
+    lowest_id_per_name,
     new_records,
     scd2_backfill,
     scd2_increment,
@@ -15,7 +17,7 @@ from ..operators.history import (
     state_change_history,
     state_change_pair,
 )
-from .inputs import BACKFILL_YEAR, FIRST_YEAR, LAST_YEAR, credits
+from .inputs import BACKFILL_YEAR, FIRST_YEAR, LAST_YEAR, credits, table
 
 KEY, PERIOD, TRACKED = ["customer_id"], "order_year", ["quality_class", "is_active"]
 
@@ -66,6 +68,31 @@ def entity_year_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def items_accumulated(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders of a customer up to each year."""
+    snapshot = entity_period_snapshot(
+        credits(spark, folder),
+        KEY,
+        PERIOD,
+        ["order_id", "price"],
+        "order_id",
+        "price",
+        FIRST_YEAR,
+        LAST_YEAR,
+        thresholds=PRICE_CLASSES,
+    )
+    ids = F.transform("items", lambda i: i["order_id"].cast("string"))
+    return accumulate_items(snapshot, KEY, PERIOD).select(
+        *KEY, PERIOD, F.concat_ws(",", ids).alias("order_ids")
+    )
+
+
+def lowest_part_per_type(spark: SparkSession, folder: str) -> DataFrame:
+    """The part with the lowest key of every part type."""
+    parts = table(spark, folder, "part").select("p_type", "p_partkey")
+    return lowest_id_per_name(parts, "p_type", "p_partkey")
+
+
 def backfill(spark: SparkSession, folder: str) -> DataFrame:
     """Type-2 history of class and flag up to the year before the last."""
     return _history(spark, folder, BACKFILL_YEAR)
@@ -126,6 +153,8 @@ def state_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "entity_year_snapshot": entity_year_snapshot,
+    "entity_year_items_accumulated": items_accumulated,
+    "lowest_id_per_name": lowest_part_per_type,
     "scd2_backfill": backfill,
     "scd2_incremental": increment,
     "scd2_incremental_as_written": increment_as_written,
@@ -175,6 +204,14 @@ ORACLES = {
                quality_class, is_active
         FROM yearly
     """,
+    "entity_year_items_accumulated": f"""
+        WITH {_YEARLY}
+        SELECT customer_id, order_year,
+               coalesce((SELECT string_agg(ids, ',' ORDER BY y) FROM ordered
+                         WHERE o_custkey = customer_id AND y <= order_year), '') AS order_ids
+        FROM yearly
+    """,
+    "lowest_id_per_name": "SELECT p_type, min(p_partkey) AS p_partkey FROM part GROUP BY p_type",
     "scd2_backfill": f"""
         WITH {_YEARLY}, {_stretches("h", 2000)}
         SELECT *, CAST(2000 AS INTEGER) AS order_year FROM h

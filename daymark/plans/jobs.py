@@ -11,12 +11,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.dates import month_of, day_literal
-from ..operators.activity import active_keys, cumulate_dates, daily_metrics, reduce_month
+from ..operators.activity import (
+    active_keys,
+    cumulate_dates,
+    daily_metrics,
+    reduce_month,
+    reduce_month_full,
+)
 from ..operators.history import scd2_increment
 from ..operators.quality import missing_days
 from ..session import materialize
 from ..sources.readers import read_parquet, read_snapshot
-from ..sources.writers import write_snapshot
+from ..sources.writers import table_exists, write_snapshot
 
 ONE_DAY = dt.timedelta(days=1)
 
@@ -97,11 +103,14 @@ def run_month_day(
     """Put one day into the stored month arrays.
 
     The month is read from and written to the same partition, so the new rows are
-    checkpointed in the shared folder before the write.
+    checkpointed in the shared folder before the write. A path without a table starts one.
     """
-    stored = read_parquet(spark, path).where(F.col(month_col) == month_of(day_literal(day)))
     daily = daily_metrics(events, keys, ts, visitor, day)
-    step = reduce_month(stored, daily, keys, day, metrics, month_col)
+    if table_exists(spark, path):
+        stored = read_parquet(spark, path).where(F.col(month_col) == month_of(day_literal(day)))
+        step = reduce_month(stored, daily, keys, day, metrics, month_col)
+    else:
+        step = reduce_month_full(daily, keys, day, metrics, month_col=month_col)
     write_snapshot(materialize(step), path, month_col)
 
 

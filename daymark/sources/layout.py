@@ -32,7 +32,7 @@ def compare_layouts(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     return union_all([file_report(spark.read.parquet(p), name) for name, p in paths.items()])
 
 
-def layout_report(df: DataFrame, sort_columns: Sequence[str], partitions: int = 8) -> DataFrame:
+def layout_report(df: DataFrame, sort_columns: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Write ``df`` once per sort column and compare files and bytes.
 
     Even partitions sorted inside by a column with long runs compress better; the report

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialize
@@ -41,19 +43,46 @@ def upsert(
 
     Only partitions that ``rows`` touches are read and rewritten. They are read and written
     at the same place, so the merged rows are checkpointed in the shared folder before the
-    write begins.
+    write begins. A path without a table takes the rows as its first load. ``partition`` must
+    be one of ``keys``, or a row that moves to another partition would be stored twice. NULL
+    keys are equal to each other.
     """
+    if partition not in keys:
+        raise ValueError(f"{partition!r} must be among the keys")
     rows = materialize(rows)
+    if not table_exists(spark, path):
+        write_snapshot(rows, path, partition)
+        return
     stored = spark.read.parquet(path).join(
-        rows.select(partition).distinct(), partition, "left_semi"
+        rows.select(F.col(partition).alias("_touched")).distinct(),
+        F.col(partition).eqNullSafe(F.col("_touched")),
+        "left_semi",
     )
-    kept = stored.join(rows.select(*keys), list(keys), "left_anti")
+    kept = _without(stored, rows, keys)
     write_snapshot(materialize(kept.unionByName(rows)), path, partition)
 
 
 def delete_rows(df: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose keys are not among ``doomed``; write the result over the table."""
-    return df.join(doomed.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows whose keys are not among ``doomed``; write the result over the table.
+
+    NULL keys are equal to each other.
+    """
+    return _without(df, doomed, keys)
+
+
+def _without(df: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    gone = others.select(*[F.col(c).alias(f"_gone_{c}") for c in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_gone_{c}")) for c in keys])
+    return df.join(gone, same, "left_anti")
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table can be read at ``path``."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
 
 
 def bucket_write(
@@ -66,12 +95,14 @@ def bucket_write(
     """Write a table bucketed and sorted by ``keys``.
 
     Two tables written with the same keys and bucket count join without a shuffle. Spread
-    the rows by the keys first: each bucket then comes from one task instead of every task
-    writing a piece of every bucket. A key with more rows than one bucket should hold is
+    the rows by the keys first, over a multiple of the bucket count: a task then writes to one
+    bucket only, and a bucket is written by as many tasks as the session's shuffles have per
+    bucket. A key with more rows than one bucket should hold is
     given a salt beforehand (operators.matches.salt_hot_keys).
     """
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     writer = (
-        df.repartition(buckets, *keys)
+        df.repartition(buckets * max(1, -(-shuffle // buckets)), *keys)
         .write.mode("overwrite")
         .bucketBy(buckets, *keys)
         .sortBy(*keys)
@@ -81,8 +112,12 @@ def bucket_write(
     writer.saveAsTable(name)
 
 
-def sorted_write(df: DataFrame, path: str, sort_by: str, partitions: int = 8) -> None:
-    """Write evenly sized files sorted inside by one column."""
+def sorted_write(df: DataFrame, path: str, sort_by: str, partitions: int | None = None) -> None:
+    """Write evenly sized files sorted inside by one column.
+
+    The number of files is that of the session's shuffles unless ``partitions`` is given.
+    """
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     df.repartition(partitions).sortWithinPartitions(sort_by).write.mode("overwrite").parquet(path)
 
 

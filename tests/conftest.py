@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = build_session(
         "daymark-tests",
-        master="local[8]",
+        master=f"local[{os.environ.get('TEST_CPUS', '8')}]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",

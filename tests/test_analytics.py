@@ -247,7 +247,14 @@ def test_streak_does_not_treat_rows_of_one_date_as_one(spark):
     assert row.longest_streak == 2
 
 
-def test_text_cannot_lead_the_order(spark):
-    df = spark.createDataFrame([("a", "x", 1)], "k string, o string, v int")
-    with pytest.raises(ValueError):
-        running_sum(df, ["k"], ["o"], "v", "s")
+def test_text_may_lead_the_order(spark):
+    df = spark.createDataFrame([("a", "y", 1), ("a", "x", 2), ("b", "z", 5)], "k string, o string, v int")
+    rows = running_sum(df, ["k"], ["o"], "v", "s", max_rows=1).collect()
+    assert {(r.k, r.o): r.s for r in rows} == {("a", "x"): 2, ("a", "y"): 3, ("b", "z"): 5}
+
+
+def test_rolling_sums_of_large_numbers_do_not_overflow(spark):
+    df = spark.createDataFrame([("a", n, 6 * 10**18) for n in range(3)], "k string, o int, v bigint")
+    for max_rows in (1, 100):
+        rows = rolling_sum(df, ["k"], ["o"], "v", 1, "s", max_rows=max_rows).collect()
+        assert [r.s for r in rows] == [6 * 10**18] * 3

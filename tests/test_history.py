@@ -66,12 +66,17 @@ def test_items_of_a_large_group_are_spread_over_parts(spark):
     rows = [("Ann", "a1", f"f{n:03}", float(n % 10), n, 2000) for n in range(100)]
     facts = credits(spark, rows + CREDITS[3:])
     whole = {(r.actorid, r.year): r for r in snapshot(facts).collect()}
-    parts = snapshot(facts, max_items=20).where("actorid = 'a1' and year = 2000").collect()
-    parts.sort(key=lambda r: r.part)
-    assert len(parts) > 1 and max(len(r["items"]) for r in parts) <= 20
-    assert [i for r in parts for i in r["items"]] == whole["a1", 2000]["items"]
-    assert {(r.quality_class, r.is_active) for r in parts} == {("star", True)}
-    others = snapshot(facts, max_items=20).where("actorid <> 'a1' or year <> 2000")
+    for size, rows in ((20, 1000), (7, 10), (100, 3)):
+        cut = snapshot(facts, part_items=size, max_rows=rows)
+        parts = cut.where("actorid = 'a1' and year = 2000").collect()
+        parts.sort(key=lambda r: r.part)
+        assert [r.part for r in parts] == list(range(-(-100 // size)))
+        assert {len(r["items"]) for r in parts[:-1]} <= {size}
+        assert [i for r in parts for i in r["items"]] == whole["a1", 2000]["items"]
+        assert {(r.quality_class, r.is_active) for r in parts} == {("star", True)}
+        total = accumulate_items(cut, ["actorid"], "year").where("actorid = 'a1'").collect()
+        assert {len(r["items"]) for r in total if r.year == 2000} == {100}
+    others = snapshot(facts, part_items=20).where("actorid <> 'a1' or year <> 2000")
     assert {(r.actorid, r.year): r for r in others.collect()} == {
         k: r for k, r in whole.items() if k != ("a1", 2000)
     }

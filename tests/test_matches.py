@@ -5,7 +5,6 @@ from pyspark.testing import assertDataFrameEqual
 
 from daymark.operators.matches import (
     average_per_match,
-    broadcast_if_small,
     count_matches,
     enrich,
     medal_total,
@@ -49,19 +48,14 @@ def test_medals_by_map(spark):
     assert {r.map: r.total for r in rows} == {"x": 3, "y": 5}
 
 
-def test_dimensions_are_broadcast_only_below_the_limit(spark):
+def test_no_job_runs_while_a_query_is_built(spark):
     facts = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
     dim = spark.range(10).select(F.col("id").alias("k"), F.lit("n").alias("name"))
-    plain = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        for limit, join in ((10, "BroadcastHashJoin"), (9, "SortMergeJoin")):
-            joined = enrich(facts, [(dim, "k", "dim")], limit)
-            assert join in joined._jdf.queryExecution().executedPlan().toString()
-            assert joined.columns == ["k", "id", "dim_name"] and joined.count() == 100
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", plain)
-    assert broadcast_if_small(dim, 9) is dim
+    spark.sparkContext.setJobGroup("build", "build")
+    joined = enrich(facts, [(dim, "k", "dim")])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext.setJobGroup("other", "other")
+    assert list(jobs) == [] and joined.columns == ["k", "id", "dim_name"] and joined.count() == 100
 
 
 def test_salted_join_gives_the_same_rows(spark):

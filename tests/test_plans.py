@@ -101,5 +101,8 @@ def test_library_keeps_to_durable_lineage():
     root = Path(__file__).parent.parent / "daymark"
     for source in root.rglob("*.py"):
         text = source.read_text()
+        assert "localCheckpoint" not in text and "toPandas" not in text, source
+        if source.parent.name == "llm":
+            continue  # collects tables whose size a parameter bounds, such as a model
         assert "localCheckpoint" not in text and ".collect()" not in text, source
         assert "toPandas" not in text and ".rdd" not in text, source

@@ -154,6 +154,7 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_a_temporary_folder_serves_only_where_none_is_set():
     class Context:
         folder = None
+        master = "local[2]"
 
         def getCheckpointDir(self):
             return self.folder
@@ -170,6 +171,21 @@ def test_a_temporary_folder_serves_only_where_none_is_set():
     assert "daymark-" in folder and shared_folder(unset) == folder
     assert shared_folder(cluster) == "hdfs:///shared"
     assert cluster.sparkContext.folder == "hdfs:///shared"
+    lost = Session(None)
+    lost.sparkContext.master = "yarn"
+    with pytest.raises(ValueError):
+        shared_folder(lost)
+
+
+def test_upsert_loads_an_empty_path_and_knows_null_keys(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "host string, month int, hits int"
+    for hits in (1, 2):
+        rows = spark.createDataFrame([("a", 1, hits), (None, 1, hits)], schema)
+        writers.upsert(spark, path, rows, ["host", "month"], "month")
+    stored = readers.read_parquet(spark, path).collect()
+    assert sorted((str(r.host), r.hits) for r in stored) == [("None", 2), ("a", 2)]
+    with pytest.raises(ValueError):
+        writers.upsert(spark, path, rows, ["host"], "month")
 
 
 def test_round_trip_of_snapshot_types(spark, tmp_path):
