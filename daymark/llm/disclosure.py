@@ -1,7 +1,7 @@
 """Personal data and the terms that give it away, by DataFrame expressions only.
 
 Base spans come from fixed patterns. Every distinct value found is a protected entity. A term
-near it reveals the entity as far as the corpus makes one follow from the other: of the texts
+near it reveals the entity as far as the corpus makes one follow from the other: of the documents
 that hold the term, the share that hold it near the entity is the entity's probability given
 the term. Terms for which this reaches a threshold, with enough texts to tell, are added as
 spans wherever they stand near that entity.
@@ -107,19 +107,21 @@ def revealing_terms(
 ) -> DataFrame:
     """(term, entity, together, texts, bits): terms that reveal an entity.
 
-    ``near`` has name (of a text), entity and term, ``docs`` all texts. ``together`` counts the
-    different texts with the term near the entity, ``texts`` those with the term anywhere,
-    ``bits`` is the pointwise mutual information of both.
+    ``near`` has a row (name of the text, entity, term) for each document and pair in it,
+    ``docs`` all documents. ``together`` counts the documents with the term near the entity,
+    ``texts`` those with the term anywhere, ``bits`` is the pointwise mutual information of
+    both. ``support`` counts different texts, so copies lend a term no weight.
+
+    All words of the corpus are counted, combined before the shuffle, and only the counts meet
+    the terms.
     """
-    together = near.select("name", "entity", "term").distinct().groupBy("term", "entity").agg(F.count("*").alias("together"))
-    often = written(together.where(F.col("together") >= support), "together")
-    holders = near.select("name", "entity").distinct().groupBy("entity").agg(F.count("*").alias("holders"))
-    terms = often.select("term").distinct()
+    together = near.groupBy("term", "entity").agg(F.count("*").alias("together"), F.countDistinct("name").alias("different"))
+    often = written(together.where(F.col("different") >= support).drop("different"), "together")
+    holders = near.groupBy("entity").agg(F.countDistinct("name").alias("holders"))
     words = docs.select(
-        F.xxhash64("text").alias("name"),
-        F.explode(F.expr(f"array_distinct(transform(regexp_extract_all(coalesce(text, ''), {_quoted(TERM)}, 0), v -> lower(v)))")).alias("term"),
+        F.explode(F.expr(f"array_distinct(transform(regexp_extract_all(coalesce(text, ''), {_quoted(TERM)}, 0), v -> lower(v)))")).alias("term")
     )
-    held = words.join(terms, "term").distinct().groupBy("term").agg(F.count("*").alias("texts"))
+    held = words.groupBy("term").agg(F.count("*").alias("texts"))
     total = docs.agg(F.count("*").alias("total"))
     known = often.join(held, "term").join(holders, "entity").where(F.col("together") >= disclosure * F.col("texts"))
     bits = F.log2(F.col("together") * F.lit(total.first()["total"]) / (F.col("texts") * F.col("holders")))
@@ -141,7 +143,9 @@ def all_spans(
     near = found.where("near IS NOT NULL").select("name", F.explode("near").alias("n")).select(
         "name", "n.entity", F.explode("n.terms").alias("t")
     ).select("name", "entity", "t.*").distinct()
-    telling = revealing_terms(near, docs, disclosure, support).select("term", "entity")
+    pairs = "array_distinct(flatten(transform(near, n -> transform(n.terms, t -> named_struct('entity', n.entity, 'term', t.term)))))"
+    met = found.where("near IS NOT NULL").select("name", F.explode(F.expr(pairs)).alias("p")).select("name", "p.*")
+    telling = revealing_terms(met, docs, disclosure, support).select("term", "entity")
     hits = near.join(telling, ["term", "entity"]).select(
         "name", F.struct("start", F.lit(len(KINDS)).alias("kind_no"), "end", F.lit("term").alias("kind"), F.col("term").alias("value")).alias("s")
     ).distinct()
