@@ -70,7 +70,7 @@ def _entries(batches, size, buckets):
             order = np.lexsort((owner, bucket))
             owner, code = owner[order], code[order]
             bounds = np.searchsorted(bucket, np.arange(buckets + 1))
-            content = int(K.mix(np.bitwise_xor.reduce(K.mix(names)) + np.uint64(part * 1_000_003 + count)))
+            content = int(K.mix(np.bitwise_xor.reduce(K.mix(names), keepdims=True) + np.uint64(part * 1_000_003 + count))[0])
             count += 1
             some = np.flatnonzero(np.diff(bounds))
             kinds = [0] * len(some) + [1]
