@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .gram_model import FIT_ROWS, fit, labelled, odds, sampled, sigmoid, text_chunks, with_odds
+from .gram_model import fit, labelled, odds, sampled, sigmoid, text_chunks, with_odds
 from .store import written
 
 DOMAINS = ("good", "poor", "toxic")
@@ -24,6 +24,8 @@ DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.90, "poor": 0.09, "toxic": 0.01}
 #: The mixture's tokens as a share of all tokens.
 BUDGET = 0.9
+#: Labelled rows that the domain classifier is fitted on at most (on average).
+FIT_ROWS = 6_000
 #: Strength of the pull toward rate one.
 PULL = 1e-3
 ROUNDS, CLOSE = 40, 1e-3
