@@ -118,18 +118,18 @@ def without_items(docs: DataFrame, items: DataFrame, size: int = SIZE, share: in
 
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w
   FROM documents WHERE doc_id IS NOT NULL
 ), i AS (
-  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), x -> x <> '') AS w
+  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w
   FROM benchmark WHERE item_id IS NOT NULL
 ), ds AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
-    THEN list_transform(range(1, len(w) - 3), k -> array_to_string(w[k:k + 4], ' ')) ELSE [array_to_string(w, ' ')] END) AS s
+    THEN list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) ELSE [array_to_string(w, ' ')] END) AS s
   FROM d WHERE len(w) > 0
 ), i_s AS (
   SELECT DISTINCT item_id, unnest(CASE WHEN len(w) >= 5
-    THEN list_transform(range(1, len(w) - 3), k -> array_to_string(w[k:k + 4], ' ')) ELSE [array_to_string(w, ' ')] END) AS s
+    THEN list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) ELSE [array_to_string(w, ' ')] END) AS s
   FROM i WHERE len(w) > 0
 ), n AS (SELECT item_id, count(*) AS n_item FROM i_s GROUP BY item_id),
 c AS (SELECT doc_id, item_id, count(*) AS n_found FROM ds JOIN i_s USING (s) GROUP BY doc_id, item_id)

@@ -47,3 +47,12 @@ def test_no_python_in_the_plan(spark, sf_dir):
 
     plan = QUERIES["op6_containment"](spark, sf_dir)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_query_equals_its_sql(spark, sf_dir):
+    from compare import connect, differences
+
+    from daymark.llm.queries import ORACLES, QUERIES
+
+    for name, sql in ORACLES.items():
+        assert differences(QUERIES[name](spark, sf_dir), connect(sf_dir), sql) == ""
