@@ -3,9 +3,10 @@
 A page is read into text blocks, each with its path of element names from the root. Per path
 the mean text length and the mean punctuation of its blocks are taken; blocks get their path's
 ratios, smoothed over their neighbours in the page, and both are fused into one score. Paths
-whose mean score reaches a threshold, set by the spread of the scores, hold content. The
-element that holds most of it is the article, and its other blocks (headings, short
-paragraphs, lists) belong to the text as well. Elements that are no content by their meaning
+whose mean score reaches a threshold, set by the spread of the scores, hold content, and so
+does a block that reaches it alone. The
+least element that holds all of it, or the article or main element around most of it, is the
+article, and its other blocks (headings, short paragraphs, lists) belong to the text as well. Elements that are no content by their meaning
 are cut before the ratios are taken.
 """
 
@@ -154,6 +155,10 @@ def _smooth(values: np.ndarray, radius: int = 2) -> np.ndarray:
     return top / np.convolve(np.ones(len(values)), weights)[radius : radius + len(values)]
 
 
+def _score(text_ratio, mark_ratio):
+    return np.log1p(max(text_ratio, 0)) * (1 + np.log1p(mark_ratio))
+
+
 def path_scores(blocks) -> dict[str, float]:
     """The fused, smoothed score of each path, the mean over its blocks."""
     paths = [b[0] for b in blocks]
@@ -169,6 +174,45 @@ def path_scores(blocks) -> dict[str, float]:
     return {p: float(means[i]) for p, i in which.items()}
 
 
+def article_of(chosen, blocks) -> int | None:
+    """The element that holds the text of the ``chosen`` content blocks, or None for the whole page.
+
+    From the deepest element with most of the chosen text it is climbed to the outermost main
+    around it, or article if no other article holds chosen blocks; without these to the least
+    element that holds all chosen blocks, and on while a section, or an element with the same
+    classes, stands beside it.
+    """
+    weight: dict = {}
+    for b in chosen:
+        for depth, element in enumerate(b[1][:-1] or b[1]):
+            held = weight.setdefault(element, [depth, 0, b])
+            held[1] += len(b[2])
+    total = sum(len(b[2]) for b in chosen)
+    deepest = max((e for e, (_, w, _) in weight.items() if w > 0.6 * total), key=lambda e: weight[e][0], default=None)
+    if deepest is None:
+        return None
+    depth, _, holder = weight[deepest]
+    line, steps = holder[1], holder[0].split("/")
+    tags = [x.split(".")[0] for x in steps[: depth + 1]]
+    if "main" in tags:
+        return line[tags.index("main")]
+    at = depth
+    if "article" in tags:
+        at = tags.index("article")
+        others = [b for b in chosen if line[at] not in b[1] and "article" in (x.split(".")[0] for x in b[0].split("/"))]
+        if not others:
+            return line[at]
+        chosen = [b for b in chosen if line[at] in b[1]] + others
+    while at and not all(line[at] in b[1] for b in chosen):
+        at -= 1
+    while at and (tags[at] == "section" or "." in steps[at]):
+        beside = (b for b in blocks if len(b[1]) > at and b[1][at - 1] == line[at - 1] and b[1][at] != line[at])
+        if not any(b[0].split("/")[at] == steps[at] for b in beside):
+            break
+        at -= 1
+    return line[at] if all(line[at] in b[1] for b in chosen) else None
+
+
 def main_blocks(html: str, spread: float = 1.0) -> list[str]:
     """The texts of a page's content blocks in page order."""
     parser = Blocks()
@@ -180,15 +224,9 @@ def main_blocks(html: str, spread: float = 1.0) -> list[str]:
     scores = path_scores(blocks)
     each = np.array([scores[b[0]] for b in blocks])
     limit = each.max() - spread * max(each.std(), 0.25 * each.max())
-    chosen = [b for b, s in zip(blocks, each, strict=True) if s >= limit]
-    # The deepest element that holds most of the chosen text, seen from the blocks' parents.
-    weight: dict = {}
-    for b in chosen:
-        for depth, element in enumerate(b[1][:-1] or b[1]):
-            held = weight.setdefault(element, [depth, 0])
-            held[1] += len(b[2])
-    total = sum(len(b[2]) for b in chosen)
-    article = max((e for e, (_, w) in weight.items() if w > 0.6 * total), key=lambda e: weight[e][0], default=None)
+    # A long block is content by its own ratios, too, whatever short ones smooth its path's.
+    chosen = [b for b, s in zip(blocks, each, strict=True) if max(s, _score(len(b[2]) - b[3], len(PUNCTUATION.findall(b[2])))) >= limit]
+    article = article_of(chosen, blocks)
     return [b[2] for b in blocks if article is None or article in b[1]]
 
 

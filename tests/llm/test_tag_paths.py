@@ -33,6 +33,33 @@ def test_pages(body, expected):
     assert extract(page(body)) == "\n\n".join(expected)
 
 
+LONG = " ".join(f"Sentence {k} of the story goes on, and on." for k in range(13))
+REST = " ".join(f"Sentence {k} of the rest goes on, and on." for k in range(7))
+
+
+@pytest.mark.parametrize("outer", ["article", "main", "div", "div class='post'"])
+@pytest.mark.parametrize("inner", ["div", "section", "section class='part'", "article"])
+@pytest.mark.parametrize("first,second", [(LONG, REST), (LONG, LONG), (REST, LONG)])
+def test_articles_in_nested_sections_stay_whole(outer, inner, first, second):
+    end, close = inner.split()[0], outer.split()[0]
+    parts = f"<{inner}><h2>One</h2><p>{first}</p></{end}><{inner}><h2>Two</h2><div><p>{second}</p></div></{end}>"
+    body = f"{MENU}<{outer}><h1>Head</h1><p>{P1}</p>{parts}</{close}><footer>{P2}</footer>"
+    assert extract(page(body)) == "\n\n".join(["Head", P1, "One", first, "Two", second])
+
+
+@pytest.mark.parametrize("body", [
+    f"<article><h1>Head</h1><div><p>{LONG}</p><p>{LONG}</p></div><div><ul><li>one</li><li>two</li></ul></div></article>",
+    f"<div><section class='part'><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></section><section class='part'><ul><li>one</li><li>two</li></ul></section></div>",
+])
+def test_parts_with_short_blocks_only_belong_to_the_article(body):
+    assert extract(page(MENU + body)) == "\n\n".join(["Head", LONG, LONG, "one", "two"])
+
+
+def test_text_beside_the_only_article_is_no_part_of_it():
+    body = f"<article><section><p>{LONG}</p></section><section><p>{REST}</p></section></article><div><p>{P1}</p></div>"
+    assert extract(page(body)) == f"{LONG}\n\n{REST}"
+
+
 def test_broken_and_empty_pages():
     assert extract(None) == extract("") == extract("   ") == extract("<html>") == ""
     assert extract("</p></div>text") == "text"
