@@ -7,7 +7,8 @@ whose mean score reaches a threshold, set by the spread of the scores, hold cont
 does a block that reaches it alone. The
 least element that holds all of it, or the article or main element around most of it, is the
 article, and its other blocks (headings, short paragraphs, lists) belong to the text as well. Elements that are no content by their meaning
-are cut before the ratios are taken.
+are cut before the ratios are taken. Names and forms are evidence only: an element that is or
+holds the article, or holds most of the page's text, stays in spite of them.
 """
 
 from __future__ import annotations
@@ -38,10 +39,12 @@ SAME_CLOSES = {
 SCOPES = {"ul", "ol", "dl", "table", "body", "html", "article", "section", "div"}
 #: Elements that are never part of an article's text.
 CUT = set(
-    "script style noscript template head title iframe object svg math canvas audio video map nav footer aside form button "
-    "select textarea input dialog menu datalist fieldset".split()
+    "script style noscript template head title iframe object svg math canvas audio video map nav footer aside button "
+    "select textarea input dialog menu datalist".split()
 )
-#: Words in class, id or role that name such parts.
+#: Elements that are cut unless they hold most of the text.
+FORMS = {"form", "fieldset"}
+#: Words in class, id or role that name such parts; in other company they say less.
 CUT_NAMES = set(
     "ad ads adv advert adverts advertisement advertising adsense banner banners breadcrumb breadcrumbs captcha comment comments "
     "commentlist consent cookie cookies copyright disqus footer gdpr header hidden login masthead menu menus modal nav "
@@ -55,26 +58,39 @@ NAME = re.compile(r"[A-Za-z]+")
 SPACE = re.compile(r"\s+")
 
 
-def _named_cut(attrs) -> bool:
+HIDDEN, PLAIN, VAGUE = 3, 2, 1
+
+
+def _doubt(tag: str, attrs, inside: bool) -> int:
+    """How far an element's attributes tell that it is no content; ``inside``: in an article."""
+    found = VAGUE if tag in FORMS else 0
     for key, value in attrs:
         if key in ("hidden",) or (key == "aria-hidden" and value == "true"):
-            return True
+            return HIDDEN
         if key == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return HIDDEN
         if key in ("class", "id", "role") and value:
-            words = {w.lower() for w in NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value))}
-            if words & CUT_NAMES:
-                return True
-    return False
+            for name in value.split():
+                words = {w.lower() for w in NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name))}
+                # An article's header holds its headings.
+                cut = words & (CUT_NAMES - {"header"} if inside else CUT_NAMES)
+                if cut:
+                    found = max(found, PLAIN if cut == words else VAGUE)
+    return found
 
 
 class Blocks(HTMLParser):
-    """Text blocks of a page: (path, elements, text, letters inside links)."""
+    """Text blocks of a page: (path, elements, text, letters inside links, doubtful elements).
+
+    ``doubts`` has how doubtful these elements are, ``alike`` their tag and class; ``around`` those that are or hold the
+    outermost article or main of a block, by the block's place.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open = []  # (tag, step of the path or "", element number, cut)
+        self.open = []  # (tag, step of the path or "", element number, cut or doubtful)
         self.count = 0
+        self.doubts, self.alike, self.around = {}, {}, {}
         self.blocks = []
         self.text, self.linked = [], 0
 
@@ -82,9 +98,13 @@ class Blocks(HTMLParser):
         text = SPACE.sub(" ", "".join(self.text)).strip()
         self.text = []
         linked, self.linked = self.linked, 0
-        if text and not any(x[3] for x in self.open):
+        if text and not any(x[3] == HIDDEN for x in self.open):
             steps = [x for x in self.open if x[1]]
-            self.blocks.append(("/".join(x[1] for x in steps), tuple(x[2] for x in steps), text, linked))
+            doubtful = tuple(x[2] for x in self.open if x[3])
+            article = next((x[2] for x in steps if x[0] in ("article", "main")), None)
+            if article is not None:
+                self.around[len(self.blocks)] = tuple(e for e in doubtful if e <= article)
+            self.blocks.append(("/".join(x[1] for x in steps), tuple(x[2] for x in steps), text, linked, doubtful))
 
     def _close(self, tags, scope):
         for k in range(len(self.open) - 1, -1, -1):
@@ -109,14 +129,18 @@ class Blocks(HTMLParser):
         if tag in HEADINGS:
             self._close(HEADINGS, SCOPES)
         block = tag not in INLINE
-        cut = (tag in CUT or (tag not in ("html", "body") and _named_cut(attrs)))
-        if tag == "header":
+        inside = any(x[0] in ("article", "main") for x in self.open)
+        cut = HIDDEN if tag in CUT else 0 if tag in ("html", "body") else _doubt(tag, attrs, inside)
+        if tag == "header" and not inside:
             # A page's header is cut; an article's holds its headings.
-            cut = cut or not any(x[0] in ("article", "main") for x in self.open)
+            cut = HIDDEN
         if block or cut:
             self._flush()
         self.count += 1
         names = "." + ".".join(sorted((dict(attrs).get("class") or "").split())) if block and dict(attrs).get("class") else ""
+        if cut in (PLAIN, VAGUE):
+            self.doubts[self.count] = cut
+            self.alike[self.count] = tag + names if names else self.count
         self.open.append((tag, tag + names if block else "", self.count, cut))
 
     def handle_startendtag(self, tag, attrs):
@@ -148,6 +172,60 @@ class Blocks(HTMLParser):
         self._flush()
 
 
+def _few_links(block) -> bool:
+    return block[3] <= 0.6 * len(block[2])
+
+
+def certain(parser: Blocks) -> list:
+    """The blocks outside the doubtful elements that are no content.
+
+    A doubtful element stays if it is or holds the elements ``article`` and ``main`` with most
+    of the text of those, and no less than what stands outside all doubt. Where no article
+    outside all doubt tells it wrong, or in an article, vague names stay if the elements of one
+    tag and class hold more than half of the text without plain names, and plain names if they
+    hold more than half of all text and ten times what else is left. Vague names stay where
+    nothing else is left. Blocks of links do not count.
+    """
+    blocks, doubts, alike = parser.blocks, parser.doubts, parser.alike
+    if not doubts:
+        return blocks
+    told = [k for k, b in enumerate(blocks) if _few_links(b)]
+    size = {k: len(blocks[k][2]) for k in told}
+    vague = {k for k in told if all(doubts[e] == VAGUE for e in blocks[k][4])}
+
+    def held(which, elements):
+        out = dict.fromkeys([*doubts, *alike.values()], 0)
+        for k in which:
+            for e in elements(k):
+                out[e] += size[k]
+        return out
+
+    def total(which):
+        return sum(size[k] for k in which)
+
+    articles = [k for k in told if k in parser.around]
+    own = held(articles, lambda k: parser.around[k])
+    inside = held(articles, lambda k: set(blocks[k][4]) - set(parser.around[k]))
+    whole = held(told, lambda k: blocks[k][4])
+    group = held(vague, lambda k: {alike[e] for e in blocks[k][4]})
+    sure = [k for k in told if not blocks[k][4]]
+    certain_article = any(k in parser.around for k in sure)
+    stays = {e for e in doubts if own[e] > 0.5 * total(articles) and own[e] >= total(sure)}
+    stays |= {
+        e for e, doubt in doubts.items()
+        if doubt == VAGUE and (inside[e] or not certain_article) and group[alike[e]] > 0.5 * total(vague)
+    }
+    left = [k for k in told if stays.issuperset(blocks[k][4])]
+    certain_article = any(k in parser.around for k in left)
+    stays |= {
+        e for e, doubt in doubts.items()
+        if doubt == PLAIN and (inside[e] or not certain_article) and whole[e] > 0.5 * total(told) and whole[e] > 10 * total(left)
+    }
+    if not any(stays.issuperset(blocks[k][4]) for k in told):
+        stays |= {e for e, doubt in doubts.items() if doubt == VAGUE}
+    return [b for b in blocks if stays.issuperset(b[4])]
+
+
 def _smooth(values: np.ndarray, radius: int = 2) -> np.ndarray:
     """Gaussian means over neighbours; the ends use the neighbours that exist."""
     weights = np.exp(-(np.arange(-radius, radius + 1) ** 2) / 2)
@@ -218,7 +296,8 @@ def main_blocks(html: str, spread: float = 1.0) -> list[str]:
     parser = Blocks()
     parser.feed(html)
     parser.close()
-    blocks = [b for b in parser.blocks if b[3] <= 0.6 * len(b[2])]
+    every = certain(parser)
+    blocks = [b for b in every if _few_links(b)]
     if not blocks:
         return []
     scores = path_scores(blocks)
@@ -227,7 +306,15 @@ def main_blocks(html: str, spread: float = 1.0) -> list[str]:
     # A long block is content by its own ratios, too, whatever short ones smooth its path's.
     chosen = [b for b, s in zip(blocks, each, strict=True) if max(s, _score(len(b[2]) - b[3], len(PUNCTUATION.findall(b[2])))) >= limit]
     article = article_of(chosen, blocks)
-    return [b[2] for b in blocks if article is None or article in b[1]]
+    held = [b for b in every if article is None or article in b[1]]
+    if article is not None and held[0][0].split("/")[held[0][1].index(article)].split(".")[0] not in ("html", "body"):
+        return [b[2] for b in held]
+    # On a page without an element for the article, blocks of links belong to it that stand
+    # between its blocks or right beside one.
+    known = {id(b) for b in chosen}
+    places = [k for k, b in enumerate(held) if id(b) in known]
+    parents = {b[1][:-1] for b in chosen}
+    return [b[2] for k, b in enumerate(held) if _few_links(b) or places[0] < k < places[-1] or b[1][:-1] in parents]
 
 
 def extract(html: str | None) -> str:

@@ -60,6 +60,42 @@ def test_text_beside_the_only_article_is_no_part_of_it():
     assert extract(page(body)) == f"{LONG}\n\n{REST}"
 
 
+LINK = "<a href='/r'>See the whole report</a>"
+
+
+@pytest.mark.parametrize("opened,closed", [
+    ("<div class='content has-sidebar'>", "</div>"), ("<article class='post comments-open'>", "</article>"),
+    ("<article class='tags'>", "</article>"), ("<main class='with-header'>", "</main>"),
+    ("<form id='aspnetForm'><div>", "</div></form>"), ("<form><article>", "</article></form>"),
+    ("<div id='search'><fieldset>", "</fieldset></div>"), ("<article><div class='widget'>", "</div></article>"),
+    ("<form class='page-header'><div class='widget-area'>", "</div></form>"),
+])
+def test_names_and_forms_around_the_article_do_not_cut_it(opened, closed):
+    body = f"{MENU}{opened}<h1>Head</h1><p>{P1}</p><p>{P2}</p><div class='related'><p>{P2}</p></div>{closed}<div class='sidebar'><p>{P2}</p></div>"
+    assert extract(page(body)) == "\n\n".join(["Head", P1, P2])
+
+
+def test_an_article_beside_named_teasers_and_comments_is_taken():
+    teasers = f"<div class='related'><article><p>{P1}</p></article><article><p>{P2}</p></article></div>"
+    assert extract(page(f"<div id='story'><p>{LONG}</p></div>{teasers}")) == LONG
+    talk = f"<div class='comments'><form><p>{P1}</p></form><p>{LONG}</p></div>"
+    assert extract(page(f"<form id='f'><article class='post comments-open'><p>{P1}</p>{talk}</article></form>")) == P1
+    assert extract(page(f"<section class='has-ads'><p>{P1}</p></section><section class='has-ads'><p>{P2}</p></section>")) == f"{P1}\n\n{P2}"
+
+
+@pytest.mark.parametrize("header", ["<header class='entry-header'>", "<div class='entry-header'>"])
+def test_the_header_in_an_article_keeps_the_headline(header):
+    body = f"{MENU}<article>{header}<h1>Head</h1></{header[1:].split()[0]}><p>{P1}</p></article>"
+    assert extract(page(body)) == f"Head\n\n{P1}"
+
+
+@pytest.mark.parametrize("opened,closed", [("<article>", "</article>"), ("<div>", "</div>"), ("", "")])
+def test_blocks_of_links_in_the_article_stay(opened, closed):
+    body = f"{MENU}{opened}<h1>Head</h1><p>{P1}</p><ul><li>{LINK}</li></ul><p>{P2}</p><p>{LINK}</p>{closed}<div><div>{LINK}</div></div>"
+    text = "See the whole report"
+    assert extract(page(body)) == "\n\n".join(["Head", P1, text, P2, text])
+
+
 def test_broken_and_empty_pages():
     assert extract(None) == extract("") == extract("   ") == extract("<html>") == ""
     assert extract("</p></div>text") == "text"
