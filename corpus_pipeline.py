@@ -20,9 +20,8 @@ from daymark.llm import containment, mixing, ngram_join, token_ids, toxicity
 from daymark.llm.queries import table, tokenizer_path
 from daymark.llm.store import ship, written
 
-#: The kept corpus has little text of poor quality left to draw; none is repeated for it.
-MIX = {"good": 0.93, "poor": 0.07, "toxic": 0.0}
-MIX_BUDGET = 0.94
+#: As many tokens as the cleaned documents have, at the mixture's own targets.
+MIX, MIX_BUDGET = mixing.TARGETS, 1.0
 
 ORACLE_SQL = None
 

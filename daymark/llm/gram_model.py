@@ -98,16 +98,16 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def _counts(batches, bits):
-    """Per task: how many positive and negative texts hold each bucket, in chunks of buckets."""
-    counts = np.zeros((2, 1 << bits), np.int32)
+def _counts(batches, bits, classes):
+    """Per task: how many texts of each class hold each bucket, in chunks of buckets."""
+    counts = np.zeros((classes, 1 << bits), np.int32)
     for batch in batches:
         labels = batch.column(1).to_numpy(zero_copy_only=False)
         for first, texts in text_chunks(batch.column(0)):
             row, bucket = distinct(texts, bits)
-            positive = labels[first + row] == 1
-            counts[1] += np.bincount(bucket[positive], minlength=1 << bits).astype(np.int32)
-            counts[0] += np.bincount(bucket[~positive], minlength=1 << bits).astype(np.int32)
+            label = labels[first + row]
+            for k in range(classes):
+                counts[k] += np.bincount(bucket[label == k], minlength=1 << bits).astype(np.int32)
     size = min(CHUNK, 1 << bits)
     for c in range((1 << bits) // size):
         part = counts[:, c * size : (c + 1) * size]
@@ -115,14 +115,24 @@ def _counts(batches, bits):
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["chunk", "counts"])
 
 
-def _chunk_sums(table: pa.Table, bits: int) -> pa.Table:
+def _chunk_sums(table: pa.Table, bits: int, classes: int) -> pa.Table:
     size = min(CHUNK, 1 << bits)
-    total = np.zeros((2, size), np.int64)
+    total = np.zeros((classes, size), np.int64)
     for blob in table.column("counts").to_pylist():
-        total += np.frombuffer(blob, np.int32).reshape(2, size)
+        total += np.frombuffer(blob, np.int32).reshape(classes, size)
     some = np.flatnonzero(total.sum(0) > 2)
     chunk = table.column("chunk")[0].as_py()
-    return pa.table({"bucket": some + chunk * size, "neg": total[0][some], "pos": total[1][some]})
+    return pa.table({"bucket": some + chunk * size, **{f"n{k}": total[k][some] for k in range(classes)}})
+
+
+def count_grams(rows: DataFrame, classes: int = 2, bits: int = BITS) -> DataFrame:
+    """(bucket, n0, n1, ...): per bucket the texts of ``rows`` (text, label from 0) of each class.
+
+    All rows are counted; buckets in fewer than three texts are left out.
+    """
+    sent = rows.select("text", F.col("label").cast("int")).mapInArrow(partial(_counts, bits=bits, classes=classes), "chunk int, counts binary")
+    names = ", ".join(f"n{k} long" for k in range(classes))
+    return sent.groupBy("chunk").applyInArrow(lambda t: _chunk_sums(t, bits, classes), f"bucket long, {names}")
 
 
 def _chosen(batches, index, bits):
@@ -201,15 +211,17 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(labels) if small else labels, "doc_id")
 
 
-def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, features: int = FEATURES, bits: int = BITS) -> GramModel:
+def fit(
+    rows: DataFrame, fit_rows: int = FIT_ROWS, features: int = FEATURES, bits: int = BITS, counted: DataFrame | None = None
+) -> GramModel:
     """The model of ``rows`` (doc_id, text, label 0/1).
 
-    Counts cover all rows. The regression runs in one task over about ``fit_rows`` of them,
+    Counts cover all rows; ``counted`` (bucket, neg, pos) has them if they are known. The regression runs in one task over about ``fit_rows`` of them,
     chosen by a hash of doc_id, and over the ``features`` buckets whose counts differ most from
     what the label's share lets expect. Without rows of both labels the model is a constant.
     """
-    sent = rows.select("text", F.col("label").cast("int")).mapInArrow(partial(_counts, bits=bits), "chunk int, counts binary")
-    counted = sent.groupBy("chunk").applyInArrow(lambda t: _chunk_sums(t, bits), "bucket long, neg long, pos long")
+    if counted is None:
+        counted = count_grams(rows.select("text", (F.col("label") == 1).alias("label")), 2, bits).toDF("bucket", "neg", "pos")
     by_label = dict(rows.groupBy((F.col("label") == 1).alias("l")).count().collect())
     pos, neg = by_label.get(True, 0), by_label.get(False, 0)
     empty = GramModel(np.zeros(1 << bits, np.float32), float(np.log((pos + 0.1) / (neg + 0.9))), bits)
@@ -248,12 +260,6 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, features: int = FEATURES, bit
     return GramModel(table, fitted["bias"], bits)
 
 
-def sampled(rows: DataFrame, most: int) -> DataFrame:
-    """About ``most`` of the rows at most, chosen by a hash of doc_id."""
-    share = int(min(1.0, most / max(1, rows.count())) * 1_000_000)
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
-
-
 def with_odds(docs: DataFrame, models: list[GramModel], keep: tuple = ("doc_id",), tokens: bool = False) -> DataFrame:
     """The columns ``keep`` and an array of log-odds, one per model, for every row of ``docs``.
 

@@ -16,16 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .gram_model import fit, labelled, odds, sampled, sigmoid, text_chunks, with_odds
+from .gram_model import FIT_ROWS, count_grams, fit, labelled, odds, sigmoid, text_chunks, with_odds
 from .store import written
+from .toxicity import fold
 
 DOMAINS = ("good", "poor", "toxic")
+#: The place in ``DOMAINS`` of a row of labels.
+DOMAIN = "CASE WHEN toxic = 1 THEN 2 WHEN quality = 1 THEN 0 WHEN quality = 0 THEN 1 END"
 #: Share of the mixture's tokens per domain.
 TARGETS = {"good": 0.90, "poor": 0.09, "toxic": 0.01}
 #: The mixture's tokens as a share of all tokens.
 BUDGET = 0.9
-#: Labelled rows that the domain classifier is fitted on at most (on average).
-FIT_ROWS = 6_000
 #: Strength of the pull toward rate one.
 PULL = 1e-3
 ROUNDS, CLOSE = 40, 1e-3
@@ -34,15 +35,36 @@ ROUNDS, CLOSE = 40, 1e-3
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
     """Two models: toxic against all, and good against poor among the rest.
 
-    Both are fitted on about ``fit_rows`` labelled rows of ``labels`` (doc_id, quality, toxic).
+    The n-grams of all rows of ``labels`` (doc_id, quality, toxic) are counted, once for both;
+    only the regressions see about ``fit_rows`` of them each.
     """
-    known = labels.select(F.col("doc_id").cast("long"), F.expr("CASE WHEN toxic = 1 THEN 2 WHEN quality = 1 THEN 0 WHEN quality = 0 THEN 1 END").alias("label"))
-    rows = written(sampled(labelled(docs, known), fit_rows), "labelled")
-    toxic = fit(rows.withColumn("label", (F.col("label") == 2).cast("int")), fit_rows)
-    good = fit(rows.where("label < 2").withColumn("label", (F.col("label") == 0).cast("int")), fit_rows)
+    known = labels.select(F.col("doc_id").cast("long"), F.expr(DOMAIN).alias("label"))
+    rows = written(labelled(docs, known), "labelled")
+    counted = written(count_grams(rows, len(DOMAINS)), "grams")
+    told = counted.select("bucket", F.expr("n0 + n1").alias("neg"), F.col("n2").alias("pos"))
+    toxic = fit(rows.withColumn("label", (F.col("label") == 2).cast("int")), fit_rows, counted=told)
+    told = counted.where("n0 + n1 > 2").select("bucket", F.col("n1").alias("neg"), F.col("n0").alias("pos"))
+    good = fit(rows.where("label < 2").withColumn("label", (F.col("label") == 0).cast("int")), fit_rows, counted=told)
     return [toxic, good]
 
 
+def held_out(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """(domain, texts, expected, log_loss): posteriors against the labels of the held-out fold.
+
+    The models are trained on the other folds. Per domain: its held-out texts, the sum of its
+    posteriors over all held-out texts, and its texts' mean -ln(posterior).
+    """
+    fits = train(docs, labels.where(fold() != 0), fit_rows)
+    known = labels.where(fold() == 0).select(F.col("doc_id").cast("long"), F.expr(DOMAIN).alias("label"))
+    rows = written(labelled(docs, known), "held out")
+    told = _posterior_table(rows, fits).select("doc_id", "p").join(rows.select("doc_id", "label"), "doc_id")
+    each = told.select("label", F.posexplode("p").alias("k", "p"))
+    sums = each.groupBy("k").agg(
+        F.count_if(F.expr("label = k")).alias("texts"), F.sum("p").alias("expected"), F.avg(F.expr("CASE WHEN label = k THEN -ln(p) END")).alias("log_loss")
+    )
+    return sums.select(F.element_at(F.array(*map(F.lit, DOMAINS)), F.col("k") + 1).alias("domain"), "texts", "expected", "log_loss")
+
+
 def posteriors(logits: np.ndarray) -> np.ndarray:
     """Probabilities of good, poor and toxic from the two models' log-odds."""
     toxic, good = sigmoid(logits[:, 0]), sigmoid(logits[:, 1])

@@ -6,7 +6,7 @@ from cases import awkward, documents, prose
 from pyspark.sql import functions as F
 
 from daymark.llm.gram_model import distinct, fit, logistic
-from daymark.llm.mixing import DOMAINS, mixed, mixture_rates, rates, solve
+from daymark.llm.mixing import DOMAINS, held_out, mixed, mixture_rates, rates, solve, train
 from daymark.llm.site_quality import prior_weight, site_quality
 from daymark.llm.toxicity import toxicity, without_toxic
 
@@ -109,6 +109,30 @@ def test_rates_meet_the_targets(spark):
     assert np.abs(got - 0.8 * np.array([targets[d] for d in DOMAINS])).max() < 2e-3
 
 
+def test_domain_counts_cover_all_labels(spark):
+    """A word in four toxic texts tells, however few rows the regression sees."""
+    texts = [prose(k, 20) + (" zzqqzz" if k % 40 == 0 else "") for k in range(160)]
+    docs, table = documents(spark, texts), labels(spark, [(k, int(k % 3 > 0), int(k % 40 == 0)) for k in range(160)])
+    models = train(docs, table, fit_rows=40)
+    known = docs.withColumn("label", (F.col("doc_id") % 40 == 0).cast("int"))
+    assert np.array_equal(models[0].table, fit(known, 40).table)
+    # With all rows in the regression both models are those of their rows alone.
+    models = train(docs, table)
+    assert np.array_equal(models[0].table, fit(known).table)
+    rest = docs.where("doc_id % 40 <> 0").withColumn("label", (F.col("doc_id") % 3 > 0).cast("int"))
+    assert np.array_equal(models[1].table, fit(rest).table)
+
+
+def test_posteriors_hold_on_held_out_labels(spark):
+    texts, known = corpus(400)
+    got = {r["domain"]: r for r in held_out(documents(spark, texts), labels(spark, known)).collect()}
+    out = [(q, t) for i, q, t in known if zlib.crc32(str(i).encode()) % 5 == 0]
+    texts = {"good": sum(q and not t for q, t in out), "poor": sum(not q and not t for q, t in out), "toxic": sum(t for _, t in out)}
+    assert {d: r["texts"] for d, r in got.items()} == texts
+    for d, n in texts.items():
+        assert abs(got[d]["expected"] - n) < 0.1 * len(out) and got[d]["log_loss"] < 0.3
+
+
 def test_mixed_rows_follow_their_rates(spark):
     texts, known = corpus()
     docs, table = documents(spark, texts), labels(spark, known)

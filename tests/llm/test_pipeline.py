@@ -48,6 +48,10 @@ def test_stages_take_effect(spark, folder):
         assert got == ids
 
 
+def test_the_mixture_gives_up_no_tokens():
+    assert corpus_pipeline.MIX_BUDGET == 1 and corpus_pipeline.MIX == corpus_pipeline.mixing.TARGETS
+
+
 def test_run_ends_with_the_ids_of_what_is_left(spark, folder):
     from tokenizers import Tokenizer
 
