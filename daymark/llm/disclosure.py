@@ -4,7 +4,7 @@ Base spans come from fixed patterns. Every distinct value found is a protected e
 near it reveals the entity as far as the corpus makes one follow from the other: of the documents
 that hold the term, the share that hold it near the entity is the entity's probability given
 the term. Terms for which this reaches a threshold, with enough texts to tell, are added as
-spans wherever they stand near that entity.
+spans in the texts in which they stand near that entity, there at every place.
 """
 
 from __future__ import annotations
@@ -53,19 +53,21 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _places(text: str, pattern: str, item: str) -> str:
+def _places(text: str, pattern: str, item: str, only: str = "true") -> str:
     """An array with ``item`` for each match; a = place of the match, b = its end, v = the match.
 
+    ``only`` is a condition on v for the matches that are kept.
     The pieces between the matches give the places, in code points.
     """
     q = _quoted(pattern)
     bound = item.replace("{a}", "(acc.at + length(z.p[i]))").replace("{b}", "(acc.at + length(z.p[i]) + length(z.m[i]))").replace("{v}", "z.m[i]")
+    only = only.replace("{v}", "z.m[i]")
     first = item.replace("{a}", "0").replace("{b}", "0").replace("{v}", "''")
     return (
         f"transform(array(regexp_extract_all({text}, {q}, 0)), m0 -> CASE WHEN size(m0) = 0 THEN slice(array({first}), 1, 0) ELSE "
         f"transform(array(named_struct('m', m0, 'p', split({text}, {q}, -1))), z -> "
         f"aggregate(sequence(0, size(z.m) - 1), named_struct('at', 0, 'out', slice(array({first}), 1, 0)), "
-        f"(acc, i) -> named_struct('at', acc.at + length(z.p[i]) + length(z.m[i]), 'out', concat(acc.out, array({bound}))), "
+        f"(acc, i) -> named_struct('at', acc.at + length(z.p[i]) + length(z.m[i]), 'out', CASE WHEN {only} THEN concat(acc.out, array({bound})) ELSE acc.out END), "
         f"acc -> acc.out))[0] END)[0]"
     )
 
@@ -138,22 +140,24 @@ def all_spans(
     found = base_spans(docs).withColumn("name", F.xxhash64("text")).withColumn(
         "near", F.expr(f"CASE WHEN size(spans) > 0 THEN {_contexts(reach)} END")
     )
-    kept = ["doc_id", "name", "spans", "near"] + ["text"] * with_text
+    item = f"named_struct('start', {{a}}, 'kind_no', {len(KINDS)}, 'end', {{b}}, 'kind', 'term', 'value', lower({{v}}))"
+    everywhere = _places("text", TERM, item, "array_contains(around, lower({v}))")
+    beside = f"transform(flatten(near.terms), t -> named_struct('start', t.start, 'kind_no', {len(KINDS)}, 'end', t.end, 'kind', 'term', 'value', t.term))"
+    # All places of the words that stand near an entity of the text.
+    places = f"array_sort(array_distinct(concat({beside}, transform(array(array_distinct(flatten(near.terms).term)), around -> {everywhere})[0])))"
+    found = found.withColumn("places", F.expr(f"CASE WHEN near IS NOT NULL THEN {places} END")).withColumn(
+        "near", F.expr("transform(near, n -> named_struct('entity', n.entity, 'terms', array_distinct(n.terms.term)))")
+    )
+    kept = ["doc_id", "name", "spans", "near", "places"] + ["text"] * with_text
     found = written(found.select(kept), "spans")
-    near = found.where("near IS NOT NULL").select("name", F.explode("near").alias("n")).select(
-        "name", "n.entity", F.explode("n.terms").alias("t")
-    ).select("name", "entity", "t.*").distinct()
-    pairs = "array_distinct(flatten(transform(near, n -> transform(n.terms, t -> named_struct('entity', n.entity, 'term', t.term)))))"
+    pairs = "array_distinct(flatten(transform(near, n -> transform(n.terms, t -> named_struct('entity', n.entity, 'term', t)))))"
     met = found.where("near IS NOT NULL").select("name", F.explode(F.expr(pairs)).alias("p")).select("name", "p.*")
     telling = revealing_terms(met, docs, disclosure, support).select("term", "entity")
-    hits = near.join(telling, ["term", "entity"]).select(
-        "name", F.struct("start", F.lit(len(KINDS)).alias("kind_no"), "end", F.lit("term").alias("kind"), F.col("term").alias("value")).alias("s")
-    ).distinct()
-    added = hits.groupBy("name").agg(F.array_sort(F.collect_list("s")).alias("added"))
-    joined = found.join(added, "name", "left")
+    hits = met.distinct().join(telling, ["term", "entity"]).groupBy("name").agg(F.collect_set("term").alias("telling"))
+    joined = found.join(hits, "name", "left")
     return joined.select(
-        *[c for c in kept if c not in ("name", "near")],
-        F.expr(f"coalesce(filter(added, t -> NOT exists(spans, s -> t.start < s.end AND s.start < t.end)), {NONE})").alias("added"),
+        *[c for c in kept if c not in ("name", "near", "places")],
+        F.expr(f"coalesce(filter(places, t -> array_contains(telling, t.value) AND NOT exists(spans, s -> t.start < s.end AND s.start < t.end)), {NONE})").alias("added"),
     )
 
 

@@ -70,6 +70,16 @@ def test_terms_near_an_entity_only_are_added(spark):
     assert "Zanzibaron wrote" not in clean[0] and "[email] yesterday" in clean[0] and clean[20] == texts[20]
 
 
+def test_a_revealing_term_goes_at_every_place_of_the_text(spark):
+    texts = [f"Zanzibaron {prose(k, 60)} Zanzibaron kim@acme.example {prose(k + 50, 60)} ZANZIBARON, {prose(k + 90, 5)}" for k in range(3)]
+    texts += [prose(k, 20) for k in range(20, 30)]
+    docs = documents(spark, texts)
+    for r in all_spans(docs).where("doc_id < 3").collect():
+        spots = [m.start() for m in re.finditer("zanzibaron", texts[r["doc_id"]].lower())]
+        assert [s["start"] for s in r["added"] if s["value"] == "zanzibaron"] == spots and len(spots) == 3
+    assert all("zanzibaron" not in r["text"].lower() for r in sanitised(docs).collect())
+
+
 def test_disclosure_equals_counting(spark):
     import random
 
