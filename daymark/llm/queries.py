@@ -4,11 +4,29 @@ from __future__ import annotations
 
 from functools import wraps
 
-from . import containment, disclosure, mixing, ngram_join, rp_forest, site_quality, suffix_levels, tag_paths, token_ids, toxicity
+from . import (
+    containment,
+    disclosure,
+    mixing,
+    ngram_join,
+    resampling,
+    rp_forest,
+    site_quality,
+    suffix_levels,
+    tag_paths,
+    token_ids,
+    toxicity,
+    warc,
+    whitening,
+)
 from .store import ship
 
 QUERIES: dict = {}
-ORACLES: dict = {"op6_containment": containment.ORACLE}
+ORACLES: dict = {
+    "op6_containment": containment.ORACLE,
+    "op11_revisits": warc.ORACLE,
+    "op12_resampling": resampling.ORACLE,
+}
 
 
 def tokenizer_path() -> str:
@@ -82,3 +100,18 @@ def op9_token_ids(spark, sf_dir):
 @query
 def op10_disclosure(spark, sf_dir):
     return disclosure.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_revisits(spark, sf_dir):
+    return warc.deduplicated(table(spark, sf_dir, "pages"))
+
+
+@query
+def op12_resampling(spark, sf_dir):
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
