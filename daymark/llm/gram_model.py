@@ -14,6 +14,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,18 +29,21 @@ FIT_ROWS = 16_000
 #: Labels up to this many rows may be sent to all executors; larger tables are shuffled.
 BROADCAST_LABELS = 2_000_000
 CHUNK = 1 << 14
+#: Tasks whose arrays of counts are added up in one task; what they give is summed by bucket.
+TOGETHER = 256
 
 
 def text_chunks(texts: pa.Array, most: int = 1 << 20):
     """(first row, padded lower-case texts) of about ``most`` characters each; nulls are empty."""
     held, size, first = [], 0, 0
-    for i, text in enumerate(texts.to_pylist()):
-        text = f" {(text or '').lower()} "
-        if held and size + len(text) > most:
-            yield first, held
-            held, size, first = [], 0, i
-        held.append(text)
-        size += len(text)
+    for some in range(0, len(texts), 256):
+        for i, text in enumerate(texts.slice(some, 256).to_pylist(), some):
+            text = f" {(text or '').lower()} "
+            if held and size + len(text) > most:
+                yield first, held
+                held, size, first = [], 0, i
+            held.append(text)
+            size += len(text)
     if held:
         yield first, held
 
@@ -63,10 +67,22 @@ def grams(texts: list[str], bits: int = BITS, sizes: tuple = SIZES):
 
 
 def distinct(texts: list[str], bits: int = BITS, sizes: tuple = SIZES):
-    """Sorted (row, bucket) pairs, each once."""
-    codes = [np.left_shift(r.astype(np.uint64), np.uint64(bits)) | b for r, b in grams(texts, bits, sizes)]
-    code = np.unique(np.concatenate(codes)) if codes else np.zeros(0, np.uint64)
-    return (code >> np.uint64(bits)).astype(np.int64), (code & np.uint64((1 << bits) - 1)).astype(np.int64)
+    """(row, bucket) pairs, each once, sorted by row.
+
+    Every place of a text writes its number into its bucket's slot; the place whose number is
+    found there afterwards stands for the bucket.
+    """
+    parts = [(bucket, np.searchsorted(row, np.arange(len(texts) + 1))) for row, bucket in grams(texts, bits, sizes)]
+    longest = max((int((ends[1:] - ends[:-1]).max(initial=0)) for _, ends in parts), default=0)
+    slot, places = np.empty(1 << bits, np.int32), np.arange(longest * len(parts), dtype=np.int32)
+    kept = []
+    for i in range(len(texts)):
+        found = np.concatenate([bucket[ends[i] : ends[i + 1]] for bucket, ends in parts]) if parts else np.zeros(0, np.uint32)
+        at = places[: len(found)]
+        slot[found] = at
+        kept.append(found[slot[found] == at])
+    rows = np.repeat(np.arange(len(texts)), [len(k) for k in kept])
+    return rows, np.concatenate(kept).astype(np.int64) if kept else np.zeros(0, np.int64)
 
 
 @dataclass
@@ -109,10 +125,11 @@ def _counts(batches, bits, classes):
             for k in range(classes):
                 counts[k] += np.bincount(bucket[label == k], minlength=1 << bits).astype(np.int32)
     size = min(CHUNK, 1 << bits)
+    some = TaskContext.get().partitionId() // TOGETHER
     for c in range((1 << bits) // size):
         part = counts[:, c * size : (c + 1) * size]
         if part.any():
-            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([some], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["chunk", "some", "counts"])
 
 
 def _chunk_sums(table: pa.Table, bits: int, classes: int) -> pa.Table:
@@ -120,7 +137,7 @@ def _chunk_sums(table: pa.Table, bits: int, classes: int) -> pa.Table:
     total = np.zeros((classes, size), np.int64)
     for blob in table.column("counts").to_pylist():
         total += np.frombuffer(blob, np.int32).reshape(classes, size)
-    some = np.flatnonzero(total.sum(0) > 2)
+    some = np.flatnonzero(total.sum(0))
     chunk = table.column("chunk")[0].as_py()
     return pa.table({"bucket": some + chunk * size, **{f"n{k}": total[k][some] for k in range(classes)}})
 
@@ -130,9 +147,11 @@ def count_grams(rows: DataFrame, classes: int = 2, bits: int = BITS) -> DataFram
 
     All rows are counted; buckets in fewer than three texts are left out.
     """
-    sent = rows.select("text", F.col("label").cast("int")).mapInArrow(partial(_counts, bits=bits, classes=classes), "chunk int, counts binary")
-    names = ", ".join(f"n{k} long" for k in range(classes))
-    return sent.groupBy("chunk").applyInArrow(lambda t: _chunk_sums(t, bits, classes), f"bucket long, {names}")
+    sent = rows.select("text", F.col("label").cast("int")).mapInArrow(partial(_counts, bits=bits, classes=classes), "chunk int, some int, counts binary")
+    names = [f"n{k}" for k in range(classes)]
+    schema = "bucket long, " + ", ".join(f"{n} long" for n in names)
+    sums = sent.groupBy("chunk", "some").applyInArrow(lambda t: _chunk_sums(t, bits, classes), schema)
+    return sums.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).where(" + ".join(names) + " > 2")
 
 
 def _chosen(batches, index, bits):
