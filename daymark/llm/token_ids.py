@@ -22,8 +22,8 @@ from . import simple8b
 SEGMENT_IDS = 1 << 19
 #: Id that ends each document.
 END = 2
-#: Words whose ids a Python worker remembers between batches.
-REMEMBERED = 500_000
+#: Words whose ids a Python worker remembers between batches: about 40 MB of them.
+REMEMBERED = 200_000
 SCHEMA = "part int, seq int, docs long, ids long, data binary"
 
 _words: dict = {}
