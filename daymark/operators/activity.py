@@ -99,6 +99,43 @@ def date_lists(
     )
 
 
+def date_list_snapshots(
+    before: DataFrame,
+    events: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    first: Day,
+    last: Day,
+    list_col: str,
+    date_col: str,
+) -> DataFrame:
+    """The date-list snapshots of every day from ``first`` to ``last``, in one pass.
+
+    ``before`` is the snapshot of the day before ``first``. Equals running
+    :func:`cumulate_dates` day after day. A key's new days, at most one per calendar day, are
+    gathered once; each snapshot takes those up to its day, newest first, before the old list.
+    A key has a row from the first day on if it is in ``before``, else from its first new day.
+    NULL keys are equal to each other.
+    """
+    start, end = day_literal(first), day_literal(last)
+    new = events.where(day_of(ts).between(start, end)).select(*keys, day_of(ts).alias("_day"))
+    days = new.distinct().groupBy(*keys).agg(F.collect_list("_day").alias("_days"))
+    none = F.lit(None)
+    kind = before.schema[list_col].dataType
+    both = before.select(*keys, F.col(list_col).alias("_old"), none.cast(kind).alias("_days")).unionByName(
+        days.select(*keys, none.cast(kind).alias("_old"), "_days")
+    )
+    # One row per key and side, so a key's rows meet without a join and NULL keys do as well.
+    merged = both.groupBy(*keys).agg(
+        F.max("_old").alias("_old"), F.sort_array(F.max("_days"), asc=False).alias("_days")
+    )
+    begin = F.when(F.col("_old").isNotNull(), start).otherwise(F.array_min("_days"))
+    dated = merged.select("*", F.explode(F.sequence(begin, end)).alias(date_col))
+    seen = F.filter(F.coalesce("_days", F.array().cast(kind)), lambda d: d <= F.col(date_col))
+    old = F.coalesce("_old", F.array().cast(kind))
+    return dated.select(*keys, F.concat(seen, old).alias(list_col), date_col)
+
+
 def datelist_bits(
     df: DataFrame,
     list_col: str,
@@ -192,3 +229,54 @@ def reduce_month_full(
             ],
         )
     )
+
+
+def merge_months(
+    stored: DataFrame | None,
+    daily: DataFrame,
+    keys: Sequence[str],
+    first: dt.date,
+    last: dt.date,
+    metrics: Mapping[str, str],
+    day_col: str = "day",
+    month_col: str = "month_start",
+) -> DataFrame:
+    """Put the metrics of all days from ``first`` to ``last`` into the month arrays at once.
+
+    ``stored`` holds the arrays of the months that the days fall in (None if there are none),
+    ``daily`` one row per key and day of the range. Equals :func:`reduce_month` day after day:
+    days of the range take the new value or 0, other days keep theirs, and an array reaches
+    the last day of the range that lies in its month. NULL keys are equal to each other.
+    """
+    entry = F.struct(day_index(day_col).alias("index"), *[F.col(m) for m in metrics.values()])
+    new = daily.groupBy(month_of(day_col).alias(month_col), *keys).agg(
+        F.collect_list(entry).alias("_days")
+    )
+    both = new.select(month_col, *keys, "_days", *[F.lit(None).cast("array<bigint>").alias(a) for a in metrics])
+    if stored is not None:
+        old = stored.select(
+            month_col, *keys, F.lit(None).cast(new.schema["_days"].dataType).alias("_days"), *metrics
+        )
+        both = both.unionByName(old)
+    # At most one row per key and side: they are put together without a join.
+    merged = both.groupBy(month_col, *keys).agg(
+        F.max_by("_days", F.size("_days")).alias("_days"),
+        *[F.max_by(a, F.size(a)).alias(a) for a in metrics],
+    )
+    low = F.greatest(F.datediff(day_literal(first), month_col), F.lit(0))
+    high = F.dayofmonth(F.least(F.last_day(month_col), day_literal(last))) - 1
+    arrays = []
+    for name, metric in metrics.items():
+        fresh = spread_by_index(F.coalesce("_days", F.array().cast(new.schema["_days"].dataType)), metric, high + 1)
+        length = F.greatest(F.coalesce(F.size(name), F.lit(0)), high + 1)
+        places = F.zip_with(F.sequence(F.lit(0), length - 1), fresh, lambda i, f: F.struct(i.alias("i"), f.alias("f")))
+        arrays.append(F.transform(places, _taken(F.col(name), low, high)).alias(name))
+    return merged.select(month_col, *keys, *arrays)
+
+
+def _taken(old: Column, low: Column, high: Column):
+    """The new value of a place in the range, else the old one, else 0."""
+    zero = F.lit(0).cast("bigint")
+    return lambda place: F.when(place["i"].between(low, high), place["f"]).otherwise(
+        F.coalesce(F.get(old, place["i"]), zero)
+    )

@@ -19,6 +19,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..session import materialize
+from .scan import range_cells
+
 MAX_ROWS = 10_000_000
 SLICES = 4
 LEVELS = 3
@@ -64,10 +67,7 @@ def _number(df: DataFrame, column: str) -> Column | None:
 
 
 def _axes(df: DataFrame, order: Sequence[str]) -> list[Column]:
-    """The leading order columns that are numbers, dates or timestamps, as numbers.
-
-    There are none if the order begins with another type; keys then stay whole.
-    """
+    """The leading order columns that are numbers, dates or timestamps, as numbers."""
     axes = []
     for column in order:
         number = _number(df, column)
@@ -145,6 +145,8 @@ def split_hot(
     """
     totals = totals or {}
     axes = _axes(df, order)
+    if len(axes) < len(order):
+        return split_by_ranges(df, keys, order, max_rows, totals)
     hot = _slices(df, keys, axes, max_rows, totals)
     cut = df.join(hot, _same_keys(keys), "left").select(
         *df.columns,
@@ -163,6 +165,36 @@ def split_hot(
     return cut
 
 
+def split_by_ranges(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    max_rows: int = MAX_ROWS,
+    totals: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """:func:`split_hot` for orders of any types: cells are range partitions of (keys, order).
+
+    Only rows of hot keys are dealt out, to so many ranges that each holds about a quarter of
+    ``max_rows``. A range may hold the end of one key and the beginning of the next: cells of a
+    key are numbered in order, with gaps. Without hot keys nothing is dealt out.
+    """
+    totals = totals or {}
+    counted = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), *[total.alias(name) for name, total in totals.items()]
+    )
+    hot = materialize(counted.where(F.col("_rows") > max_rows).select(*_on(keys), "_rows", *totals))
+    rows = hot.agg(F.sum("_rows")).first()[0]
+    if rows is None:
+        nothing = [F.lit(None).cast(hot.schema[name].dataType).alias(name) for name in totals]
+        return df.select(*df.columns, *nothing, F.lit(False).alias("_hot"), F.lit(0).cast("bigint").alias("_cell"))
+    marked = df.join(hot, _same_keys(keys), "left").select(
+        *df.columns, *totals, F.col("_rows").isNotNull().alias("_hot")
+    )
+    places = [F.col(c).asc_nulls_first() for c in keys] + ascending(order)
+    dealt = range_cells(marked.where("_hot"), places, -(-rows * SLICES // max_rows))
+    return dealt.unionByName(marked.where(~F.col("_hot")).withColumn("_cell", F.lit(0).cast("bigint")))
+
+
 def _sum_type(kind: T.DataType) -> T.DataType:
     """The type that Spark gives the sum of a bigint or decimal column."""
     if isinstance(kind, T.DecimalType):

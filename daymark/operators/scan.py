@@ -40,13 +40,15 @@ def numbered(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
     """``df`` with ``out``, the place of a row in ``order`` over the whole table, from 1.
 
     Rows that agree in ``order`` follow one another by a hash of all columns. Each range
-    counts its rows; the counts, one per range, come to the driver and go back as offsets.
+    counts its rows; the counts, one pair of numbers per range, come to the driver and go back as
+    offsets, whose size Spark then knows.
     """
     keys = [*order, F.col("_tie")]
     dealt = df.withColumn("_tie", tie_break(df)).repartitionByRange(*keys).sortWithinPartitions(*keys)
     dealt = materialize(dealt.drop("_tie").withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", ROW_BITS)
-    sizes = sorted((r["part"], r["n"]) for r in dealt.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    counts = dealt.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.agg(F.sort_array(F.collect_list(F.struct("part", "n")))).first()[0]
     before = list(accumulate((n for _, n in sizes), initial=0))[:-1]
     starts = [(p, b) for (p, _), b in zip(sizes, before, strict=True)]
     offsets = df.sparkSession.createDataFrame(starts, "_part long, _before long")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import activity, analytics, experiments, history, matches, quality, sessions, stored
+from . import activity, analytics, experiments, history, matches, quality, sessions, stored, versions, visitors
 
-MODULES = (activity, history, analytics, sessions, matches, quality, experiments, stored)
+MODULES = (activity, history, analytics, sessions, matches, quality, experiments, stored, versions, visitors)
 
 
 def queries() -> dict:

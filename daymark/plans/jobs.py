@@ -10,11 +10,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.dates import month_of, day_literal
+from ..functions.dates import day_literal, day_of, month_of
 from ..operators.activity import (
     active_keys,
     cumulate_dates,
     daily_metrics,
+    date_list_snapshots,
+    merge_months,
     reduce_month,
     reduce_month_full,
 )
@@ -76,17 +78,18 @@ def backfill_activity(
     """Write the missing snapshots between two days, and return the days written.
 
     Every snapshot builds on the one before, so all days from the first missing one on are
-    written again. The days come to the driver, at most one value per calendar day.
+    written again: from one read of their events and one write, see
+    :func:`~daymark.operators.activity.date_list_snapshots`.
     """
     missing = missing_days(read_parquet(spark, path), [], F.col(date_col), first, last)
     start = missing.agg(F.min("missing_day")).first()[0]
-    days = []
-    while start is not None and start + ONE_DAY * len(days) <= last:
-        day = start + ONE_DAY * len(days)
-        stored = read_parquet(spark, path)
-        run_activity_day(stored, events, path, keys, ts, day, list_col, date_col)
-        days.append(day)
-    return days
+    if start is None:
+        return []
+    # The path is read and written, in partitions of different days.
+    before = read_snapshot(spark, path, date_col, start - ONE_DAY)
+    steps = date_list_snapshots(before, events, keys, ts, start, last, list_col, date_col)
+    write_snapshot(materialize(steps), path, date_col)
+    return [start + ONE_DAY * n for n in range((last - start).days + 1)]
 
 
 def run_month_day(
@@ -114,6 +117,31 @@ def run_month_day(
     write_snapshot(materialize(step), path, month_col)
 
 
+def backfill_months(
+    spark: SparkSession,
+    events: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    ts: str,
+    visitor: str,
+    first: dt.date,
+    last: dt.date,
+    metrics: Mapping[str, str],
+    month_col: str = "month_start",
+) -> None:
+    """Put all days of a range into the stored month arrays: one read, one write.
+
+    Gives what :func:`run_month_day` gives day after day. Days before the range stay as they are
+    stored, also if nothing is.
+    """
+    in_range = day_of(ts).between(day_literal(first), day_literal(last))
+    daily = daily_metrics(events.where(in_range), keys, ts, visitor)
+    months = F.col(month_col).between(month_of(day_literal(first)), month_of(day_literal(last)))
+    stored = read_parquet(spark, path).where(months) if table_exists(spark, path) else None
+    step = merge_months(stored, daily, keys, first, last, metrics, month_col=month_col)
+    write_snapshot(materialize(step), path, month_col)
+
+
 def run_history_year(
     spark: SparkSession,
     yearly: DataFrame,

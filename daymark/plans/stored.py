@@ -14,13 +14,14 @@ from ..sources.writers import delete_rows, upsert, write_snapshot
 from .activity import _MONTH, DATE, LIST, MONTH_METRICS, _joined
 from .history import KEY, ORACLES as HISTORY, PERIOD, TRACKED, _history, _yearly
 from .inputs import BACKFILL_YEAR, LAST_YEAR, TODAY, table, web_events
-from .jobs import backfill_activity, run_activity_day, run_history_year, run_month_day, start_activity_table
+from .jobs import backfill_activity, backfill_months, run_activity_day, run_history_year, run_month_day, start_activity_table
 
-FIRST_DAY = TODAY - dt.timedelta(days=3)
+#: The first day of the events.
+FIRST_DAY = dt.date(2024, 1, 1)
 
 
 def stored_host_activity(spark: SparkSession, folder: str) -> DataFrame:
-    """Date lists per visitor: a first load, a day, the same day again, then the missing days."""
+    """Date lists per visitor: a first load, a day, the same day again, then all missing days."""
     events, path = web_events(spark, folder), new_path(spark, "activity")
     start_activity_table(events, path, ["ip"], "ts", FIRST_DAY, LIST, DATE)
     second = FIRST_DAY + dt.timedelta(days=1)
@@ -31,11 +32,16 @@ def stored_host_activity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored_host_months(spark: SparkSession, folder: str) -> DataFrame:
-    """Month arrays per host: a first load, then day after day, the last one twice."""
+    """Month arrays per host: a first load, all days but the last at once, two of them over
+    again, then the last day, twice."""
     events, path = web_events(spark, folder), new_path(spark, "months")
-    for back in (2, 1, 0, 0):
-        day = TODAY - dt.timedelta(days=back)
-        run_month_day(spark, events, path, ["host"], "ts", "user_id", day, MONTH_METRICS)
+    names = (["host"], "ts", "user_id")
+    run_month_day(spark, events, path, *names, FIRST_DAY, MONTH_METRICS)
+    eve = TODAY - dt.timedelta(days=1)
+    backfill_months(spark, events, path, *names, FIRST_DAY + dt.timedelta(days=1), eve, MONTH_METRICS)
+    backfill_months(spark, events, path, *names, eve - dt.timedelta(days=1), eve, MONTH_METRICS)
+    for _ in range(2):
+        run_month_day(spark, events, path, *names, TODAY, MONTH_METRICS)
     return _joined(read_parquet(spark, path), *MONTH_METRICS).select("host", "month_start", *MONTH_METRICS)
 
 
@@ -49,12 +55,17 @@ def stored_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders by year, loaded into an empty path and then upserted with changed prices."""
+    """Orders by year: finished ones loaded into an empty path, then all that were ever open, and
+    those of a priority with a changed price."""
     path = new_path(spark, "orders")
-    orders = table(spark, folder, "orders").select("o_orderkey", F.year("o_orderdate").alias("order_year"), "o_totalprice")
-    upsert(spark, path, orders.where("o_orderkey % 3 <> 0"), ["o_orderkey", "order_year"], "order_year")
-    changed = orders.where("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    upsert(spark, path, changed, ["o_orderkey", "order_year"], "order_year")
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", F.year("o_orderdate").alias("order_year"), "o_totalprice", "o_orderstatus", "o_orderpriority"
+    )
+    keys = ["o_orderkey", "order_year"]
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    changed = orders.withColumn("o_totalprice", F.col("o_totalprice") + F.when(urgent, 1).otherwise(0))
+    upsert(spark, path, orders.where("o_orderstatus = 'F'"), keys, "order_year")
+    upsert(spark, path, changed.where((F.col("o_orderstatus") != "F") | urgent), keys, "order_year")
     return read_parquet(spark, path).select("o_orderkey", "order_year", "o_totalprice")
 
 
@@ -78,17 +89,17 @@ ORACLES = {
                string_agg(DISTINCT strftime(ts, '%Y-%m-%d'), ','
                           ORDER BY strftime(ts, '%Y-%m-%d') DESC) AS activity_dates,
                DATE '2024-01-30' AS as_of
-        FROM events WHERE ts >= TIMESTAMP '2024-01-27' AND ts < TIMESTAMP '2024-01-31'
+        FROM events WHERE ts < TIMESTAMP '2024-01-31'
         GROUP BY user_id
     """,
-    "stored_host_months": _MONTH.replace("FROM events GROUP BY ALL", "FROM events WHERE ts >= TIMESTAMP '2024-01-28' GROUP BY ALL").format(
+    "stored_host_months": _MONTH.format(
         key="event_type", visitor="user_id", out="host"
     ),
     "stored_history": HISTORY["scd2_incremental"],
     "stored_upsert": """
         SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS order_year,
-               CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
-        FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0
+               CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+        FROM orders
     """,
     "delete_by_subquery": """
         SELECT * FROM lineitem WHERE (l_orderkey, l_linenumber) NOT IN (

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
-from daymark.operators.activity import daily_metrics, date_lists, reduce_month_full
+from daymark.operators.activity import daily_metrics, date_list_snapshots, date_lists, reduce_month_full
 from daymark.operators.history import scd2_backfill
 from daymark.plans import jobs
 from daymark.session import shared
@@ -102,3 +102,36 @@ def test_jdbc_outputs(spark, monkeypatch):
         (["id", "batch"], {"dbtable": "s"}, "append"),
         (["id"], {"dbtable": "h"}, "overwrite"),
     ]
+
+
+@pytest.mark.parametrize("first, last", [(0, 0), (1, 3), (0, 6), (3, 3), (2, 40)])
+def test_many_days_at_once_equal_day_after_day(spark, events, tmp_path, first, last):
+    """Snapshots and month arrays, over a month border, with a NULL key and days without events."""
+    rows = events.unionByName(events.limit(5).withColumn("host", F.lit(None).cast("string")))
+    names, paths = (["host"], "ts"), [str(tmp_path / n) for n in ("step", "once")]
+    for path in paths:
+        jobs.run_month_day(spark, rows, path, *names, "user", day(-1), METRICS)
+        for n in range(first):
+            jobs.run_month_day(spark, rows.where("host IS NOT NULL"), path, *names, "user", day(n), METRICS)
+    known = rows.where("host IS NOT NULL")
+    for n in range(first, last + 1):
+        jobs.run_month_day(spark, known, paths[0], *names, "user", day(n), METRICS)
+    for _ in range(2):
+        jobs.backfill_months(spark, known, paths[1], *names, "user", day(first), day(last), METRICS)
+    assertDataFrameEqual(*[read_parquet(spark, p).select("month_start", "host", *METRICS) for p in paths])
+
+
+def test_months_of_an_empty_path(spark, events, tmp_path):
+    path = str(tmp_path / "months")
+    jobs.backfill_months(spark, events, path, ["host"], "ts", "user", day(0), day(3), METRICS)
+    expected = reduce_month_full(daily_metrics(events, ["host"], "ts", "user"), ["host"], day(3), METRICS)
+    assertDataFrameEqual(read_parquet(spark, path).select(expected.columns), expected)
+
+
+def test_snapshots_of_many_days_keep_null_keys_together(spark, events):
+    rows = events.unionByName(events.limit(9).withColumn("host", F.lit(None).cast("string")))
+    before = date_lists(rows, ["host"], "ts", day(0), "dates", "as_of")
+    got = date_list_snapshots(before, rows, ["host"], "ts", day(1), day(5), "dates", "as_of")
+    for n in range(1, 6):
+        expected = date_lists(rows, ["host"], "ts", day(n), "dates", "as_of")
+        assertDataFrameEqual(got.where(F.col("as_of") == F.lit(day(n))), expected, ignoreNullable=True)
