@@ -154,9 +154,8 @@ def longest_streak(
 ) -> DataFrame:
     """Longest run of rows with ``value > over``, for all keys at once.
 
-    ``order`` must be a total order within a key and start with a number, date or
-    timestamp. A row without a value breaks the run, or is passed over with
-    ``nulls="skip"``.
+    ``order`` must be a total order within a key; its columns may be of any type that can be
+    ordered. A row without a value breaks the run, or is passed over with ``nulls="skip"``.
     """
     if nulls not in ("break", "skip"):
         raise ValueError("nulls must be 'break' or 'skip'")

@@ -14,7 +14,7 @@ from ..operators.analytics import (
     team_results,
     top_k,
 )
-from ..operators.hot import rolling_sum, running_sum
+from ..operators.hot import longest_run, rolling_sum, running_sum
 from .inputs import game_details, games, table
 
 SETS = {
@@ -147,6 +147,39 @@ def longest_streaks(spark: SparkSession, folder: str) -> DataFrame:
     return longest_streak(rows, ["player_id"], order, "pts", STREAK_POINTS)
 
 
+#: So few rows make a key hot that the three order statuses are.
+STATUS_ROWS = 2_000
+DEAR = 250_000
+
+
+def _by_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders by status, each a third of all; their order begins with the priority, a text."""
+    return table(spark, folder, "orders").select(
+        "o_orderstatus", "o_orderpriority", "o_orderkey", (F.col("o_totalprice") > DEAR).cast("int").alias("dear")
+    )
+
+
+def running_dear_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Dear orders of a status up to each order, cut into ranges by priority and key."""
+    order = ["o_orderpriority", "o_orderkey"]
+    return running_sum(_by_status(spark, folder), ["o_orderstatus"], order, "dear", "dear_so_far", STATUS_ROWS)
+
+
+def rolling_dear_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Dear orders among the last 90 of a status, in the same order."""
+    order = ["o_orderpriority", "o_orderkey"]
+    return rolling_sum(
+        _by_status(spark, folder), ["o_orderstatus"], order, "dear", STRETCH_GAMES, "dear_last_90", max_rows=STATUS_ROWS
+    )
+
+
+def longest_plain_streaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Longest run of orders of a status that are not dear, in the same order."""
+    rows = _by_status(spark, folder).withColumn("plain", F.col("dear") == 0)
+    order = ["o_orderpriority", "o_orderkey"]
+    return longest_run(rows, ["o_orderstatus"], order, "plain", "longest_plain", STATUS_ROWS)
+
+
 QUERIES = {
     "dedupe": deduped_lines,
     "duplicate_report": duplicate_lines,
@@ -158,6 +191,9 @@ QUERIES = {
     "rolling_wins_90": rolling_wins_90,
     "running_wins": running_wins,
     "longest_streak": longest_streaks,
+    "running_dear_orders": running_dear_orders,
+    "rolling_dear_orders": rolling_dear_orders,
+    "longest_plain_streaks": longest_plain_streaks,
 }
 
 _GAMES = """
@@ -198,7 +234,27 @@ _ROLLING = f"""
       FROM results)
 """
 
+_BY_STATUS = """
+    rated AS (
+      SELECT o_orderstatus, o_orderpriority, o_orderkey, CAST(o_totalprice > 250000 AS INTEGER) AS dear FROM orders)
+"""
+_STATUS_ORDER = "PARTITION BY o_orderstatus ORDER BY o_orderpriority, o_orderkey"
+
 ORACLES = {
+    "running_dear_orders": f"""
+        WITH {_BY_STATUS}
+        SELECT *, CAST(sum(dear) OVER ({_STATUS_ORDER} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS dear_so_far FROM rated
+    """,
+    "rolling_dear_orders": f"""
+        WITH {_BY_STATUS}
+        SELECT *, CAST(sum(dear) OVER ({_STATUS_ORDER} ROWS 89 PRECEDING) AS BIGINT) AS dear_last_90 FROM rated
+    """,
+    "longest_plain_streaks": f"""
+        WITH {_BY_STATUS},
+        runs AS (SELECT *, sum(dear) OVER ({_STATUS_ORDER} ROWS UNBOUNDED PRECEDING) AS run FROM rated),
+        lengths AS (SELECT o_orderstatus, run, count(*) FILTER (WHERE dear = 0) AS length FROM runs GROUP BY ALL)
+        SELECT o_orderstatus, max(length) AS longest_plain FROM lengths GROUP BY o_orderstatus
+    """,
     "dedupe": """
         SELECT * FROM lineitem
         QUALIFY row_number() OVER (
