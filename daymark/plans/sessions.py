@@ -35,8 +35,8 @@ def host_averages(spark: SparkSession, folder: str) -> DataFrame:
     return average_events_by_host(sessions(spark, folder), HOSTS)
 
 
-def _run_stream(spark: SparkSession, folder: str) -> tuple[SessionTable, int]:
-    """Work off the event files with the streaming job; its table and last batch."""
+def _run_stream(spark: SparkSession, folder: str) -> SessionTable:
+    """Work off the event files with the streaming job; its table."""
     schema = table(spark, folder, "events").schema
     events = file_events(spark, folder, schema, "events.parquet").select(
         "ts", F.col("user_id").cast("string").alias("ip"), F.col("event_type").alias("host")
@@ -50,26 +50,45 @@ def _run_stream(spark: SparkSession, folder: str) -> tuple[SessionTable, int]:
         available_now=True,
     )
     query.awaitTermination()
-    return stored, query.lastProgress["batchId"]
+    return stored
 
 
 def sessions_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Sessions the streaming job has closed when it has read all events."""
-    stored, _ = _run_stream(spark, folder)
+    stored = _run_stream(spark, folder)
     times = {c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")}
     return stored.read_sessions(spark).withColumns(times)
 
 
 def stream_host_averages(spark: SparkSession, folder: str) -> DataFrame:
     """Averages the streaming job keeps per chosen host, over closed sessions."""
-    stored, batch = _run_stream(spark, folder)
-    return stored.host_averages(stored.read_totals(spark, batch))
+    stored = _run_stream(spark, folder)
+    return stored.host_averages(stored.read_totals(spark))
 
 
 def stream_pattern_average(spark: SparkSession, folder: str) -> DataFrame:
     """Average the streaming job keeps for hosts like a pattern, over closed sessions."""
-    stored, batch = _run_stream(spark, folder)
-    return stored.pattern_averages(stored.read_totals(spark, batch))
+    stored = _run_stream(spark, folder)
+    return stored.pattern_averages(stored.read_totals(spark))
+
+
+def stream_host_totals_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions and events per host, from the stored sessions after two runs of the streaming job
+    over one folder, the second with a new checkpoint, and a compaction."""
+    schema = table(spark, folder, "events").schema
+    base = new_path(spark, "sessions")
+    for run in ("first", "second"):
+        events = file_events(spark, folder, schema, "events.parquet").select(
+            "ts", F.col("user_id").cast("string").alias("ip"), F.col("event_type").alias("host")
+        )
+        stored = SessionTable(f"{base}/tables")
+        closed = stream_sessions(events, "ts", KEYS, GAP, DELAY)
+        run_sessions(closed, stored, f"{base}/{run}", available_now=True).awaitTermination()
+    stored.compact(spark)
+    sums = stored.read_sessions(spark).groupBy("host").agg(
+        F.count(F.lit(1)).alias("stored_sessions"), F.sum("events_in_session").alias("stored_events")
+    )
+    return stored.read_totals(spark).join(sums, "host")
 
 
 QUERIES = {
@@ -79,6 +98,7 @@ QUERIES = {
     "sessions_stream": sessions_stream,
     "stream_avg_events_pattern": stream_pattern_average,
     "stream_avg_events_per_host": stream_host_averages,
+    "stream_host_totals_compacted": stream_host_totals_compacted,
 }
 
 _SESSIONS = """

@@ -12,6 +12,7 @@ from daymark.sources.readers import file_events
 from daymark.sources.schemas import STREAM_EVENTS
 from daymark.streaming.sessions import (
     SessionTable,
+    checkpoint_run,
     dropped_rows,
     run_sessions,
     stream_daily_averages,
@@ -69,7 +70,7 @@ def test_stream_gives_the_closed_batch_sessions(spark, event_folder, tmp_path):
     stored = table.read_sessions(spark)
     assertDataFrameEqual(stored, expected.select(stored.columns), ignoreNullable=True)
 
-    totals = table.read_totals(spark, batches)
+    totals = table.read_totals(spark)
     by_host = {r.host: r for r in totals.collect()}
     sums = stored.groupBy("host").agg(
         F.count(F.lit(1)).alias("n"), F.sum("events_in_session").alias("e")
@@ -82,15 +83,80 @@ def test_stream_gives_the_closed_batch_sessions(spark, event_folder, tmp_path):
     assert set(metrics) == {"with_i", "all"}
     assert metrics["all"] == stored.agg(F.avg("events_in_session")).first()[0]
 
-    # A batch that runs again replaces what it wrote.
-    again = spark.read.schema(stored.schema).parquet(f"{table.sessions_path}/batch={batches}")
-    table.write_batch(spark.createDataFrame(again.collect(), again.schema), batches)
+    # A batch that runs again changes nothing, whatever it brings.
+    again = spark.read.schema(stored.schema).parquet(table.sessions_path(batches))
+    table.write_batch(spark.createDataFrame(again.collect() * 2, again.schema), batches)
     stored = table.read_sessions(spark)
     assertDataFrameEqual(stored, expected.select(stored.columns), ignoreNullable=True)
-    repeated = {r.host: (r.sessions, r.events) for r in table.read_totals(spark, batches).collect()}
+    repeated = {r.host: (r.sessions, r.events) for r in table.read_totals(spark).collect()}
     assert repeated == {h: (r.sessions, r.events) for h, r in by_host.items()}
     assert {name for name, _, _ in seen} == {"sessions", "averages", "host_averages"}
 
+    # Compaction changes the folders and not the rows; the next batch goes on from it.
+    unused = table.compact(spark)
+    assert len(unused) == 2 * (batches + 1) and len(table.commits(spark)) == 1
+    assertDataFrameEqual(table.read_sessions(spark), expected.select(stored.columns), ignoreNullable=True)
+    table.write_batch(stored.where("host = 'click'").limit(1), batches + 1)
+    assert table.read_sessions(spark).count() == expected.count() + 1
+    after = {r.host: r.sessions for r in table.read_totals(spark).collect()}
+    assert after == {h: r.sessions + (h == "click") for h, r in by_host.items()}
+    assert table.compact(spark) and table.read_sessions(spark).count() == expected.count() + 1
+
+
+SESSION = "session_start timestamp, session_end timestamp, ip string, host string, events_in_session long"
+
+
+def batch(spark, *events):
+    t = dt.datetime(2024, 1, 1)
+    return spark.createDataFrame([(t, t, "i", "h", n) for n in events], SESSION)
+
+
+def seen_by_readers(spark, table):
+    totals = table.read_totals(spark).first()
+    rows = [r.events_in_session for r in table.read_sessions(spark).collect()]
+    assert (totals.sessions, totals.events) == (len(rows), sum(rows))
+    return sorted(rows)
+
+
+def test_a_batch_that_ends_between_its_writes_is_not_seen(spark, tmp_path, monkeypatch):
+    table = SessionTable(str(tmp_path / "t"), run="a")
+    table.write_batch(batch(spark, 1, 2), 0)
+    for step in ("_add_totals", "_commit"):
+        with monkeypatch.context() as m:
+            m.setattr(SessionTable, step, lambda *args: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                table.write_batch(batch(spark, 3), 1)
+        assert seen_by_readers(spark, table) == [1, 2]
+    table.write_batch(batch(spark, 3), 1)
+    assert seen_by_readers(spark, table) == [1, 2, 3]
+
+
+def test_a_new_run_neither_overwrites_nor_mixes(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    old = SessionTable(folder, run="a")
+    for number, events in enumerate([(1, 2), (3,)]):
+        old.write_batch(batch(spark, *events), number)
+    new = SessionTable(folder, run="b")
+    new.write_batch(batch(spark, 10), 0)
+    assert seen_by_readers(spark, new) == [10]
+    assert spark.read.schema(SESSION).parquet(old.sessions_path(0)).count() == 2  # still there
+    new.write_batch(batch(spark, 11), 1)
+    assert seen_by_readers(spark, new) == [10, 11]
+    more = SessionTable(folder, run="c", continues=True)
+    more.write_batch(batch(spark, 12), 0)
+    assert seen_by_readers(spark, more) == [10, 11, 12]
+
+
+def test_a_checkpoint_keeps_its_run(spark, tmp_path):
+    first = checkpoint_run(spark, str(tmp_path / "one"))
+    assert checkpoint_run(spark, str(tmp_path / "one")) == first != checkpoint_run(spark, str(tmp_path / "two"))
+
+
+def test_no_commit_is_an_error_for_readers(spark, tmp_path):
+    for read in (SessionTable.read_totals, SessionTable.read_sessions):
+        with pytest.raises(FileNotFoundError):
+            read(SessionTable(str(tmp_path / "t")), spark)
+
 
 def test_late_rows_are_counted(spark, tmp_path):
     folder, t0 = str(tmp_path / "in"), dt.datetime(2024, 1, 1, 12)
