@@ -60,6 +60,21 @@ def day_bits(days: Column | str, as_of: Column, window: int, top_exponent: int)
     return F.aggregate(as_column(days), zero, add).bitwiseAND(F.lit(LOW_32_BITS))
 
 
+def days_mask(first: int, last: int, top_exponent: int = 31) -> int:
+    """The bits of the days ``first`` to ``last`` ago in an activity map."""
+    return sum(1 << (top_exponent - n) for n in range(first, last + 1))
+
+
+def active_between(bits: Column, first: int, last: int) -> Column:
+    """Whether an activity map has a day from ``first`` to ``last`` days ago."""
+    return bits.bitwiseAND(F.lit(days_mask(first, last))) != 0
+
+
+def active_days(bits: Column, first: int, last: int) -> Column:
+    """How many of the days from ``first`` to ``last`` ago are in an activity map."""
+    return F.bit_count(bits.bitwiseAND(F.lit(days_mask(first, last))))
+
+
 def bit_text(bits: Column, width: int = 32) -> Column:
     """Bits as text, highest first."""
     return F.lpad(F.bin(bits), width, "0")

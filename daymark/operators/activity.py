@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.arrays import (
+    active_between,
+    active_days,
     bit_text,
     day_bits,
     place_at,
@@ -155,6 +157,30 @@ def datelist_bits(
     return result.withColumn(text_out, bit_text(F.col(out))) if text_out else result
 
 
+def activity_states(df: DataFrame, bits: str, period: int = 7) -> DataFrame:
+    """What a 32-day activity map (top bit = as-of day) says, with bit operations alone.
+
+    Adds ``active_1``, ``active_7``, ``active_28``, the number of active days of the last 28,
+    and ``state`` over periods of so many days: of a user active in the last one "retained" (the
+    one before as well), "resurrected" (only some day before that) or "new" (no other day in
+    the map); else "churned" (active in the one before) or "stale".
+    """
+    if not 1 <= period <= 15:
+        raise ValueError("a map of 32 days holds two periods of up to 15 days and a day before them")
+    one = F.col(bits)
+    now, before = active_between(one, 0, period - 1), active_between(one, period, 2 * period - 1)
+    ever = active_between(one, 2 * period, 31)
+    state = (
+        F.when(now & before, "retained")
+        .when(now & ever, "resurrected")
+        .when(now, "new")
+        .when(before, "churned")
+        .otherwise("stale")
+    )
+    spans = {f"active_{n}": active_between(one, 0, n - 1) for n in (1, 7, 28)}
+    return df.withColumns({**spans, "days_of_28": active_days(one, 0, 27), "state": state})
+
+
 def daily_metrics(
     events: DataFrame,
     keys: Sequence[str],

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.conditions import ratio
 from ..functions.dates import add_interval
-from .hot import MAX_ROWS, next_time
+from .hot import MAX_ROWS, chained_times, next_time
 
 
 def conversions(
@@ -40,6 +40,39 @@ def conversions(
     )
 
 
+def funnel(
+    events: DataFrame,
+    key: str,
+    ts: str,
+    start: Column,
+    steps: Mapping[str, tuple[Column, dt.timedelta]],
+    max_rows: int = MAX_ROWS,
+) -> DataFrame:
+    """Every start event with the times at which it went through ``steps``, in their order.
+
+    ``steps`` maps names to a condition and the time allowed since the step before. Step ``x``
+    is reached at the first event at or after the step before that meets its condition; its
+    time is in ``x_at``, NULL if that is too late or there is none, as are all after it.
+    """
+    wanted = {f"_step{i}": condition for i, (condition, _) in enumerate(steps.values())}
+    some = start
+    for condition in wanted.values():
+        some = some | condition
+    marked = events.where(some).select(
+        key, F.col(ts).alias("started_at"), start.alias("_start"), *[c.alias(n) for n, c in wanted.items()]
+    )
+    limits = [within for _, within in steps.values()]
+    found = chained_times(marked, [key], "started_at", list(wanted), limits, "_times", max_rows)
+    times = [F.col("_times")[i].alias(f"{name}_at") for i, name in enumerate(steps)]
+    return found.where("_start").select(key, "started_at", *times)
+
+
+def funnel_counts(started: DataFrame, steps: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Starts and how many of them reached each step, in all or per group."""
+    reached = [F.count(f"{name}_at").alias(name) for name in steps]
+    return started.groupBy(*by).agg(F.count(F.lit(1)).alias("starts"), *reached)
+
+
 def conversion_rate(converted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Starts, conversions and their share, in all or per group."""
     sums = converted.groupBy(*by).agg(
@@ -150,3 +183,59 @@ def compare_cells(
         .withColumn("lift", F.col("treatment_rate") - F.col("control_rate"))
         .withColumn("z", F.try_divide(F.col("lift"), error))
     )
+
+
+def moments(df: DataFrame, by: Sequence[Column | str], value: Column) -> DataFrame:
+    """Count, mean and squared deviations (``n``, ``mean``, ``m2``) of ``value`` per group, to be
+    stored and merged; NULL and NaN do not count."""
+    known = F.when(~F.isnan(value.cast("double")), value.cast("double"))
+    return df.groupBy(*by).agg(
+        F.count(known).alias("n"),
+        F.avg(known).alias("mean"),
+        (F.var_pop(known) * F.count(known)).alias("m2"),
+    )
+
+
+def merge_moments(parts: DataFrame, by: Sequence[Column | str]) -> DataFrame:
+    """Moments of larger groups from those of parts, such as days.
+
+    The parts' deviations from the common mean are added to those within the parts, so nothing
+    large is taken from something large.
+    """
+    named = parts.where("n > 0").select(*by, "n", "mean", "m2")
+    groups = [c for c in named.columns if c not in ("n", "mean", "m2")]
+    whole = Window.partitionBy(*groups)
+    common = F.sum(F.col("n") * F.col("mean")).over(whole) / F.sum("n").over(whole)
+    return named.withColumn("_common", common).groupBy(*groups).agg(
+        F.sum("n").alias("n"),
+        F.first("_common").alias("mean"),
+        F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("_common")) ** 2).alias("m2"),
+    )
+
+
+def compare_means(merged: DataFrame, cell_col: str, names=("control", "treatment")) -> DataFrame:
+    """One row from the moments of two cells: sizes, means, sample variances, the difference,
+    Welch's t statistic and its degrees of freedom.
+
+    An empty cell has no mean, one with a single value no variance; what follows from a missing
+    number is NULL, and so are t and its degrees of freedom if neither cell varies.
+    """
+    columns = []
+    for name in names:
+        mine = F.col(cell_col) == name
+        columns += [
+            F.coalesce(F.max(F.when(mine, F.col("n"))), F.lit(0).cast("bigint")).alias(f"{name}_n"),
+            F.max(F.when(mine, F.col("mean"))).alias(f"{name}_mean"),
+            F.max(F.when(mine, F.try_divide("m2", F.col("n") - 1))).alias(f"{name}_variance"),
+        ]
+    row = merged.agg(*columns)
+    errors = [F.try_divide(F.col(f"{n}_variance"), F.col(f"{n}_n")) for n in names]
+    error = errors[0] + errors[1]
+    terms = [F.try_divide(e * e, F.col(f"{n}_n") - 1) for e, n in zip(errors, names, strict=True)]
+    return row.withColumns(
+        {
+            "difference": F.col(f"{names[1]}_mean") - F.col(f"{names[0]}_mean"),
+            "t": F.try_divide(F.col(f"{names[1]}_mean") - F.col(f"{names[0]}_mean"), F.sqrt(error)),
+            "degrees": F.try_divide(error * error, terms[0] + terms[1]),
+        }
+    )

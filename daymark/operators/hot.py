@@ -14,6 +14,7 @@ text column has no range to cut and stays in one cell.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -354,6 +355,52 @@ def next_time(
     )
 
 
+def chained_times(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    steps: Sequence[str],
+    limits: Sequence[dt.timedelta],
+    out: str,
+    max_rows: int = MAX_ROWS,
+) -> DataFrame:
+    """Times at which each row's key goes through ``steps`` from that row on, one after another.
+
+    ``out`` is an array with a time per step: that of the first row at or after the step
+    before where the step's column holds, if it lies within the step's limit, else NULL, as all
+    times after it. Steps are worked out from the last to the first. A row where a step holds
+    carries the times of the steps after it, so one search backwards in time per step, over rows
+    that are cut and ordered once, gives whole chains, and no pairs of rows arise.
+    """
+    cut = split_hot(df, keys, [ts], max_rows)
+    frame = (
+        Window.partitionBy(*keys, "_cell")
+        .orderBy(F.col(ts).desc_nulls_first())
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    from_last = Window.partitionBy(*keys).orderBy(F.desc("_cell"))
+    following = F.min("_first").over(from_last.rowsBetween(Window.unboundedPreceding, -1))
+    times = T.ArrayType(df.schema[ts].dataType)
+    found = cut.withColumn("_rest", F.array().cast(times))
+    for left, (wanted, limit) in enumerate(reversed(list(zip(steps, limits, strict=True))), 1):
+        hit = F.when(F.col(wanted), F.struct(F.col(ts).alias("at"), F.col("_rest").alias("rest")))
+        later = (
+            found.where("_hot")
+            .groupBy(*keys, "_cell")
+            .agg(F.min(hit).alias("_first"))
+            .select(*_on([*keys, "_cell"]), following.alias("_later"))
+        )
+        local = found.withColumn("_local", F.min(hit).over(frame))
+        reached = F.coalesce("_local", "_later")
+        in_time = reached["at"] <= F.col(ts) + F.lit(limit)
+        chain = F.concat(F.array(reached["at"]), reached["rest"])
+        never = F.array_repeat(F.lit(None).cast(times.elementType), left)
+        found = local.join(later, _same_keys([*keys, "_cell"]), "left").select(
+            *cut.columns, F.when(in_time, chain).otherwise(never).alias("_rest")
+        )
+    return found.select(*[c for c in df.columns if c != out], F.col("_rest").alias(out))
+
+
 def longest_run(
     df: DataFrame,
     keys: Sequence[str],

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.dates import day_literal, day_of
 from ..operators.activity import (
     active_keys,
+    activity_states,
     cumulate_dates,
     daily_metrics,
     date_lists,
@@ -102,7 +103,15 @@ def visitor_month_step(spark: SparkSession, folder: str) -> DataFrame:
     return _joined(reduce_month(before, today, ["ip"], TODAY, MONTH_METRICS), *MONTH_METRICS)
 
 
+def activity_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Active days and state of every visitor of a host, from the stored map alone."""
+    lists = date_lists(web_events(spark, folder), ["ip", "host"], "ts", TODAY, LIST, DATE)
+    maps = datelist_bits(lists, LIST, F.col(DATE), text_out=None)
+    return activity_states(maps, "datelist_int").drop(LIST, DATE, "datelist_int")
+
+
 QUERIES = {
+    "activity_state": activity_state,
     "host_activity": host_activity,
     "visitor_activity": visitor_activity,
     "visitor_activity_kept": visitor_activity_kept,
@@ -155,6 +164,23 @@ _MONTH = """
 """
 
 ORACLES = {
+    "activity_state": """
+        WITH seen AS (
+          SELECT DISTINCT user_id, event_type, date_diff('day', CAST(ts AS DATE), DATE '2024-01-30') AS ago
+          FROM events WHERE ts < TIMESTAMP '2024-01-31'),
+        per AS (
+          SELECT CAST(user_id AS VARCHAR) AS ip, event_type AS host,
+                 count(*) FILTER (WHERE ago = 0) > 0 AS active_1, count(*) FILTER (WHERE ago < 7) > 0 AS active_7,
+                 count(*) FILTER (WHERE ago < 28) > 0 AS active_28,
+                 CAST(count(*) FILTER (WHERE ago < 28) AS INTEGER) AS days_of_28,
+                 count(*) FILTER (WHERE ago BETWEEN 7 AND 13) > 0 AS before,
+                 count(*) FILTER (WHERE ago BETWEEN 14 AND 31) > 0 AS ever
+          FROM seen GROUP BY ALL)
+        SELECT ip, host, active_1, active_7, active_28, days_of_28,
+               CASE WHEN active_7 AND before THEN 'retained' WHEN active_7 AND ever THEN 'resurrected'
+                    WHEN active_7 THEN 'new' WHEN before THEN 'churned' ELSE 'stale' END AS state
+        FROM per
+    """,
     "host_activity": """
         SELECT event_type AS host,
                string_agg(DISTINCT strftime(ts, '%Y-%m-%d'), ','

@@ -79,7 +79,41 @@ def cell_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return result.withColumn("z", F.round("z", 9))
 
 
+#: Steps after a sign-up: their event, and the time allowed since the step before.
+STEPS = {
+    "click": ("click", dt.timedelta(days=3)),
+    "view": ("view", dt.timedelta(hours=36)),
+    "purchase": ("purchase", dt.timedelta(days=7)),
+}
+
+
+def three_step_funnel(spark: SparkSession, folder: str) -> DataFrame:
+    """Every sign-up with its click, the view after that and the purchase after that."""
+    host = F.col("host")
+    steps = {name: (host == event, within) for name, (event, within) in STEPS.items()}
+    return experiments.funnel(web_events(spark, folder), "user_id", "ts", host == "signup", steps)
+
+
+def funnel_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Sign-ups of a day and how many of them reached each step."""
+    started = three_step_funnel(spark, folder).withColumn("day", day_of("started_at"))
+    return experiments.funnel_counts(started, list(STEPS), ["day"])
+
+
+def cell_means(spark: SparkSession, folder: str) -> DataFrame:
+    """The mean account value of customers of the two cells, from moments kept per nation."""
+    customers = table(spark, folder, "customer").withColumn("cell", experiments.cell("c_custkey", SALT))
+    parts = experiments.moments(customers, ["cell", "c_nationkey"], F.col("c_acctbal"))
+    result = experiments.compare_means(experiments.merge_moments(parts, ["cell"]), "cell")
+    # Sums of doubles depend on their order in the last digits.
+    doubles = [name for name, kind in result.dtypes if kind == "double"]
+    return result.withColumns({name: F.round(name, 6) for name in doubles})
+
+
 QUERIES = {
+    "three_step_funnel": three_step_funnel,
+    "funnel_by_day": funnel_by_day,
+    "cell_means": cell_means,
     "conversion_within_7_days": conversion_events,
     "conversion_rate_72h": conversion_rate_72h,
     "early_actions_14_days": early_actions,
@@ -103,7 +137,43 @@ _CELL = """
               % 100 < 50 THEN 'treatment' ELSE 'control' END
 """
 
+_FUNNEL = """
+    clicked AS (
+      SELECT s.event_id, s.user_id, s.ts AS started_at, min(e.ts) AS click_at
+      FROM events s LEFT JOIN events e ON e.user_id = s.user_id AND e.event_type = 'click'
+       AND e.ts BETWEEN s.ts AND s.ts + INTERVAL 3 DAY
+      WHERE s.event_type = 'signup' GROUP BY ALL),
+    viewed AS (
+      SELECT c.*, min(e.ts) AS view_at
+      FROM clicked c LEFT JOIN events e ON e.user_id = c.user_id AND e.event_type = 'view'
+       AND e.ts BETWEEN click_at AND click_at + INTERVAL 36 HOUR GROUP BY ALL),
+    bought AS (
+      SELECT v.*, min(e.ts) AS purchase_at
+      FROM viewed v LEFT JOIN events e ON e.user_id = v.user_id AND e.event_type = 'purchase'
+       AND e.ts BETWEEN view_at AND view_at + INTERVAL 7 DAY GROUP BY ALL)
+"""
+
 ORACLES = {
+    "three_step_funnel": f"WITH {_FUNNEL} SELECT user_id, started_at, click_at, view_at, purchase_at FROM bought",
+    "funnel_by_day": f"""
+        WITH {_FUNNEL}
+        SELECT CAST(started_at AS DATE) AS day, count(*) AS starts, count(click_at) AS click,
+               count(view_at) AS view, count(purchase_at) AS purchase
+        FROM bought GROUP BY ALL
+    """,
+    "cell_means": f"""
+        WITH cells AS (SELECT c_acctbal AS v, {_CELL.format(unit="c_custkey")} AS cell FROM customer),
+        sums AS (
+          SELECT count(*) FILTER (WHERE cell = 'control') AS an, avg(v) FILTER (WHERE cell = 'control') AS am,
+                 var_samp(v) FILTER (WHERE cell = 'control') AS av,
+                 count(*) FILTER (WHERE cell = 'treatment') AS bn, avg(v) FILTER (WHERE cell = 'treatment') AS bm,
+                 var_samp(v) FILTER (WHERE cell = 'treatment') AS bv FROM cells)
+        SELECT an AS control_n, round(am, 6) AS control_mean, round(av, 6) AS control_variance,
+               bn AS treatment_n, round(bm, 6) AS treatment_mean, round(bv, 6) AS treatment_variance,
+               round(bm - am, 6) AS difference, round((bm - am) / sqrt(av / an + bv / bn), 6) AS t,
+               round((av / an + bv / bn) ** 2 / ((av / an) ** 2 / (an - 1) + (bv / bn) ** 2 / (bn - 1)), 6) AS degrees
+        FROM sums
+    """,
     "conversion_within_7_days": f"""
         WITH {_CONVERTED.format(hours=168)}
         SELECT user_id, started_at, converted_at, converted_at IS NOT NULL AS converted

@@ -142,4 +142,10 @@ ORACLES = {
     "sessions_stream": f"WITH {_SESSIONS} SELECT * FROM closed",
     "stream_avg_events_pattern": _pattern("closed"),
     "stream_avg_events_per_host": _per_host("closed"),
+    "stream_host_totals_compacted": f"""
+        WITH {_SESSIONS}
+        SELECT host, count(*) AS sessions, CAST(sum(events_in_session) AS BIGINT) AS events,
+               count(*) AS stored_sessions, CAST(sum(events_in_session) AS BIGINT) AS stored_events
+        FROM closed GROUP BY host
+    """,
 }

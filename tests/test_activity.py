@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
@@ -235,3 +236,21 @@ def test_month_arrays_cover_each_month(spark):
         day("2024-01-01"): [0] * 30 + [1],
         day("2024-02-01"): [0, 1, 0],
     }
+
+
+@pytest.mark.parametrize("period", [1, 7, 15])
+def test_states_from_maps_equal_those_from_days(spark, period):
+    import random
+
+    from daymark.operators.activity import activity_states
+
+    rng = random.Random(period)
+    maps = [0, 1, 1 << 31, (1 << 32) - 1] + [sum(1 << b for b in range(32) if rng.random() < p) for p in (0.03, 0.1, 0.5) for _ in range(40)]
+    df = spark.createDataFrame([(m,) for m in maps], "m long")
+    for r in activity_states(df, "m", period).collect():
+        ago = [n for n in range(32) if r.m >> (31 - n) & 1]
+        now, before = (any(a <= n < a + period for n in ago) for a in (0, period))
+        ever = any(n >= 2 * period for n in ago)
+        state = "retained" if now and before else "resurrected" if now and ever else "new" if now else "churned" if before else "stale"
+        expected = (*[any(n < d for n in ago) for d in (1, 7, 28)], sum(n < 28 for n in ago), state)
+        assert (r.active_1, r.active_7, r.active_28, r.days_of_28, r.state) == expected

@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 from daymark.operators.experiments import (
     cell,
     compare_cells,
+    compare_means,
     continued_share,
     conversion_rate,
     conversions,
     early_actions,
+    funnel,
+    funnel_counts,
+    merge_moments,
+    moments,
     weekly_retention,
 )
 
@@ -98,3 +103,72 @@ def test_comparison(spark):
     assert row.z == pytest.approx(0.15 / math.sqrt(pooled * (1 - pooled) * 2 / 100))
     empty = compare_cells(df.where("cell = 'control'"), "cell", F.col("won")).first()
     assert empty.treatment_rate is None and empty.z is None
+
+
+def walk(rows, user, at, steps):
+    """Times of a chain of steps, by looking at all events."""
+    out = []
+    for name, within in steps:
+        found = min((t for u, t, e in rows if u == user and e == name and t >= at), default=None) if at else None
+        at = found if found and found <= at + within else None
+        out.append(at)
+    return tuple(out)
+
+
+@pytest.mark.parametrize("max_rows", [5, 40, 10_000])
+def test_funnel_equals_walking(spark, max_rows):
+    rng = random.Random(9)
+    rows = [
+        (rng.choice(["hot"] * 5 + ["a", "b"]), T0 + dt.timedelta(minutes=rng.randrange(600)), rng.choice("sxyz"))
+        for _ in range(250)
+    ]
+    df = spark.createDataFrame(rows, "u string, t timestamp_ntz, e string")
+    steps = [("x", dt.timedelta(minutes=15)), ("y", dt.timedelta(minutes=30)), ("z", dt.timedelta(hours=2))]
+    conditions = {name: (F.col("e") == name, within) for name, within in steps}
+    got = funnel(df, "u", "t", F.col("e") == "s", conditions, max_rows)
+    expected = sorted(((u, t, *walk(rows, u, t, steps)) for u, t, e in rows if e == "s"), key=str)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == expected
+    counts = funnel_counts(got, ["x", "y", "z"]).first()
+    assert tuple(counts) == (len(expected), *[sum(r[i] is not None for r in expected) for i in (2, 3, 4)])
+    assert counts.z > 3
+
+
+def test_funnel_of_an_event_that_is_several_steps(spark):
+    df = spark.createDataFrame([("a", T0, 1), ("a", T0 + dt.timedelta(hours=1), 2)], "u string, t timestamp_ntz, n int")
+    any_event = (F.lit(True), dt.timedelta(hours=1))
+    row = funnel(df, "u", "t", F.col("n") == 1, {"p": any_event, "q": (F.col("n") == 2, dt.timedelta(hours=1))}).first()
+    assert tuple(row) == ("a", T0, T0, T0 + dt.timedelta(hours=1))
+    late = funnel(df, "u", "t", F.col("n") == 1, {"q": (F.col("n") == 2, dt.timedelta(minutes=59)), "p": any_event}).first()
+    assert tuple(late) == ("a", T0, None, None)
+
+
+def test_means(spark):
+    rng = random.Random(2)
+    offset = 1e9  # variances must not drown in large means
+    rows = [(c, n % 7, offset + rng.gauss(m, s)) for c, m, s, k in (("control", 0, 1, 90), ("treatment", 0.5, 3, 40)) for n in range(k)]
+    rows += [("control", 3, None), ("treatment", 8, float("nan"))]
+    df = spark.createDataFrame(rows, "cell string, day int, v double")
+    merged = merge_moments(moments(df, ["cell", "day"], F.col("v")), ["cell"])
+    got = compare_means(merged, "cell").first()
+    a, b = ([v for c, _, v in rows if c == name and v == v and v is not None] for name in ("control", "treatment"))
+    ma, mb = math.fsum(a) / len(a), math.fsum(b) / len(b)
+    va, vb = (math.fsum((x - m) ** 2 for x in xs) / (len(xs) - 1) for xs, m in ((a, ma), (b, mb)))
+    ea, eb = va / len(a), vb / len(b)
+    assert (got.control_n, got.treatment_n) == (90, 40)
+    assert got.control_variance == pytest.approx(va, rel=1e-6) and got.treatment_variance == pytest.approx(vb, rel=1e-6)
+    assert got.t == pytest.approx((mb - ma) / math.sqrt(ea + eb), rel=1e-5)
+    assert got.degrees == pytest.approx((ea + eb) ** 2 / (ea**2 / 89 + eb**2 / 39), rel=1e-5)
+
+
+def test_means_without_spread_or_rows(spark):
+    def compared(rows):
+        df = spark.createDataFrame(rows, "cell string, v double")
+        return compare_means(merge_moments(moments(df, ["cell"], F.col("v")), ["cell"]), "cell").first()
+
+    flat = compared([("control", 1.0)] * 3 + [("treatment", 2.0)] * 3)
+    assert (flat.control_variance, flat.difference, flat.t, flat.degrees) == (0.0, 1.0, None, None)
+    one = compared([("control", 1.0), ("control", 3.0), ("treatment", 2.0)])
+    assert (one.treatment_n, one.treatment_mean, one.treatment_variance, one.t) == (1, 2.0, None, None)
+    none = compared([("control", 1.0), ("treatment", None)])
+    assert (none.control_n, none.treatment_n, none.treatment_mean, none.difference) == (1, 0, None, None)
+    assert tuple(compared([]))[:2] == (0, None)
