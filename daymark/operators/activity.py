@@ -17,6 +17,7 @@ from ..functions.arrays import (
     spread_by_index,
 )
 from ..functions.dates import day_index, day_literal, day_of, month_of
+from .joins import full_join
 
 Day = dt.date | str
 
@@ -72,7 +73,7 @@ def cumulate_dates(
         *keys, F.col(list_col).alias("_old_list"), F.col(date_col).alias(f"_old_{date_col}")
     )
     new = today.select(*keys, F.col(active_col).alias("_active"))
-    return new.join(old, list(keys), "full").select(
+    return full_join(new, old, keys).select(
         *keys,
         prepend(F.col("_active"), F.col("_old_list")).alias(list_col),
         F.coalesce(F.col("_active"), carried).alias(date_col),
@@ -219,7 +220,7 @@ def reduce_month(
     start = month_of(day_literal(day))
     old = month.where(F.col(month_col) == start).select(*keys, *metrics)
     new = daily.select(*keys, *[F.col(m).alias(f"_new_{a}") for a, m in metrics.items()])
-    return old.join(new, list(keys), "full").select(
+    return full_join(old, new, keys).select(
         start.alias(month_col),
         *keys,
         *[place_at(F.col(a), at, F.col(f"_new_{a}")).alias(a) for a in metrics],

@@ -16,6 +16,7 @@ from ..functions.conditions import (
     classify,
 )
 from .hot import MAX_ROWS, running_sum
+from .joins import full_join
 
 # Items in one row of a snapshot.
 PART_ITEMS = 10_000
@@ -205,7 +206,7 @@ def _with_history(
     """History rows beside the current row of the same key, from one full outer join."""
     old = history.select(*key, F.struct(*values).alias("_old"))
     new = current.select(*key, F.struct(*values).alias("_new"))
-    return old.join(new, list(key), "full")
+    return full_join(old, new, key)
 
 
 def _as_values(
@@ -330,7 +331,7 @@ def state_change_pair(
     label = F.when(F.col("_old").isNull(), F.lit(NEW)).otherwise(
         F.coalesce(activity_state(F.col("was_active"), F.col("is_active_now")), F.lit(UNKNOWN))
     )
-    return new.join(old, list(key), "full").select(
+    return full_join(new, old, key).select(
         *key,
         F.coalesce(F.col("_period"), F.col("previous_period") + 1).alias(period),
         label.alias("state_change"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.conditions import ratio
 from ..functions.dates import day_literal
+from .joins import full_join
 
 
 def profit_by(
@@ -78,8 +79,7 @@ def reconcile_counts(
     ]
     zero = F.lit(0).cast("bigint")
     return (
-        counts[0]
-        .join(counts[1], list(keys), "full")
+        full_join(*counts, keys)
         .select(*keys, F.coalesce(a, zero).alias(a), F.coalesce(b, zero).alias(b))
         .withColumn("difference", F.col(a) - F.col(b))
         .withColumn("matches", F.col("difference") == 0)

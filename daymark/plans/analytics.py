@@ -27,6 +27,7 @@ POINTS = {"total_pts": "pts"}
 # Parameters of the windows: games in a stretch, and the points a streak must exceed.
 STRETCH_GAMES = 90
 STREAK_POINTS = 10
+BIG_POINTS = 40
 
 
 def duplicate_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,6 +81,14 @@ def grouping_sets_points(spark: SparkSession, folder: str) -> DataFrame:
     return joined.withColumn("wins", won)
 
 
+def big_games(spark: SparkSession, folder: str) -> DataFrame:
+    """Points by player and team, with the games of a team in which a line has over 40 points,
+    each counted once."""
+    sets = {"player": ["player_id"], "team": ["team_id"]}
+    wanted = {"big_games": ("team", "game_id", F.col("pts") > BIG_POINTS)}
+    return grouping_sets_rollup(game_details(spark, folder), sets, POINTS, wanted)
+
+
 def top_player_team(spark: SparkSession, folder: str) -> DataFrame:
     """Most points of a player for one team."""
     totals = rollup_level(_points(spark, folder), "player_team", SETS["player_team"], POINTS)
@@ -184,6 +193,7 @@ QUERIES = {
     "dedupe": deduped_lines,
     "duplicate_report": duplicate_lines,
     "grouping_sets_points": grouping_sets_points,
+    "big_games": big_games,
     "top_player_team": top_player_team,
     "top_player_season": top_player_season,
     "top_team_wins": top_team_wins,
@@ -241,6 +251,15 @@ _BY_STATUS = """
 _STATUS_ORDER = "PARTITION BY o_orderstatus ORDER BY o_orderpriority, o_orderkey"
 
 ORACLES = {
+    "big_games": f"""
+        WITH {_BASE}
+        SELECT 'player' AS level, player_id, CAST(NULL AS INTEGER) AS team_id,
+               CAST(sum(pts) AS BIGINT) AS total_pts, CAST(NULL AS BIGINT) AS big_games
+        FROM base GROUP BY player_id
+        UNION ALL
+        SELECT 'team', NULL, team_id, sum(pts), count(DISTINCT game_id) FILTER (WHERE pts > 40)
+        FROM base GROUP BY team_id
+    """,
     "running_dear_orders": f"""
         WITH {_BY_STATUS}
         SELECT *, CAST(sum(dear) OVER ({_STATUS_ORDER} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS dear_so_far FROM rated

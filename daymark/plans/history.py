@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.arrays import last_item
 from ..operators.history import (
     accumulate_items,
     changed_records,
@@ -68,6 +69,16 @@ def entity_year_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def last_order_of_year(spark: SparkSession, folder: str) -> DataFrame:
+    """The last order of every customer in each year with orders: the last item of the last part."""
+    snapshot = entity_period_snapshot(
+        credits(spark, folder), KEY, PERIOD, ["order_id", "price"], "order_id", "price", FIRST_YEAR, LAST_YEAR,
+        thresholds=PRICE_CLASSES,
+    )
+    last = F.max_by(last_item(F.col("items")), "part")
+    return snapshot.where(F.size("items") > 0).groupBy(*KEY, PERIOD).agg(last["order_id"].alias("last_order_id"))
+
+
 def items_accumulated(spark: SparkSession, folder: str) -> DataFrame:
     """All orders of a customer up to each year."""
     snapshot = entity_period_snapshot(
@@ -154,6 +165,7 @@ def state_changes(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "entity_year_snapshot": entity_year_snapshot,
     "entity_year_items_accumulated": items_accumulated,
+    "last_order_of_year": last_order_of_year,
     "lowest_id_per_name": lowest_part_per_type,
     "scd2_backfill": backfill,
     "scd2_incremental": increment,
@@ -211,6 +223,10 @@ ORACLES = {
                          WHERE o_custkey = customer_id AND y <= order_year), '') AS order_ids
         FROM yearly
     """,
+    "last_order_of_year": """
+        SELECT o_custkey AS customer_id, CAST(year(o_orderdate) AS INTEGER) AS order_year, max(o_orderkey) AS last_order_id
+        FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001 GROUP BY ALL
+    """,
     "lowest_id_per_name": "SELECT p_type, min(p_partkey) AS p_partkey FROM part GROUP BY p_type",
     "scd2_backfill": f"""
         WITH {_YEARLY}, {_stretches("h", 2000)}

@@ -33,16 +33,15 @@ def versioned_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 def _line(spark: SparkSession, path: str, name: str, run: Published) -> DataFrame:
     """What a run published and rejected by rule, and what readers see after it."""
-    seen = read_version(spark, path).agg(F.count(F.lit(1)).alias("visible"))
     rules = read_rejects(spark, path, run.run).select(F.explode("rules").alias("rule"))
     counts = rules.groupBy("rule").agg(F.count(F.lit(1)).alias("rejected"))
-    return counts.join(seen).select(
+    return counts.select(
         F.lit(name).alias("run"),
         F.lit(run.version is not None).alias("published"),
         F.lit(run.accepted).cast("long").alias("accepted"),
         "rule",
         "rejected",
-        "visible",
+        F.lit(read_version(spark, path).count()).cast("long").alias("visible"),
     )
 
 

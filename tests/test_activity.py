@@ -254,3 +254,15 @@ def test_states_from_maps_equal_those_from_days(spark, period):
         state = "retained" if now and before else "resurrected" if now and ever else "new" if now else "churned" if before else "stale"
         expected = (*[any(n < d for n in ago) for d in (1, 7, 28)], sum(n < 28 for n in ago), state)
         assert (r.active_1, r.active_7, r.active_28, r.days_of_28, r.state) == expected
+
+
+def test_null_keys_stay_one_row_from_step_to_step(spark):
+    day = dt.date(2024, 1, 1)
+    keys = "host string, date_active date"
+    table = spark.createDataFrame([(None, day), ("a", day)], keys).select(
+        "host", F.array("date_active").alias("dates"), F.col("date_active").alias("as_of")
+    )
+    for n in range(1, 4):
+        today = spark.createDataFrame([(None, day + dt.timedelta(days=n))], keys)
+        table = cumulate_dates(table, today, ["host"], "dates", "as_of")
+    assert {r.host: len(r.dates) for r in table.collect()} == {None: 4, "a": 1} and table.count() == 2
