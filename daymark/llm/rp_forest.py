@@ -203,15 +203,28 @@ def nearest(
             row_keys, query_keys = a.column("key").to_numpy(), b.column("key").to_numpy()
             least = a.column("least").to_numpy()
             x, q = (_matrix(t.column("embedding").combine_chunks(), width) for t in (a, b))
-            top, parts_out, norms = min(k + 1, len(x)), [], (x**2).sum(1)
+            top, parts_out = min(k + 1, len(x)), []
+            # Rough distances are taken around the middle of the leaf, where little cancels.
+            middle = x.mean(0)
+            around, size = x - middle, np.sqrt(width) * max(np.abs(x).max(), np.abs(q).max())
+            norms = (around**2).sum(1)
+            far = np.sqrt(norms.max())
             for s in range(0, len(q), 256):
-                block = q[s : s + 256]
-                rough = norms - 2 * block @ x.T
-                best = np.argpartition(rough, min(top + 4, len(x)) - 1, axis=1)[:, : top + 4]
-                exact = np.sqrt(((x[best] - block[:, None]) ** 2).sum(2))
-                order = np.lexsort((least[best], exact), axis=1)[:, :top]
-                line = np.arange(len(block))[:, None]
-                parts_out.append([np.repeat(query_keys[s : s + 256], order.shape[1]), row_keys[best[line, order]].ravel(), exact[line, order].ravel()])
+                block, near = q[s : s + 256], q[s : s + 256] - middle
+                rough = norms - 2 * near @ around.T
+                # All rows that rounding could put among the first, and all ties, are ranked exactly.
+                reach = far + np.sqrt((near**2).sum(1))
+                slack = 8 * np.finfo(float).eps * (width + 4) * reach * (reach + size)
+                limit = np.partition(rough, top - 1, axis=1)[:, top - 1] + slack
+                line, column = np.nonzero(rough <= limit[:, None])
+                exact = np.empty(len(line))
+                for c in range(0, len(line), 1 << 14):
+                    gap = x[column[c : c + (1 << 14)]] - block[line[c : c + (1 << 14)]]
+                    exact[c : c + (1 << 14)] = np.sqrt((gap**2).sum(1))
+                order = np.lexsort((least[column], exact, line))
+                line, column, exact = line[order], column[order], exact[order]
+                first = np.arange(len(line)) - np.searchsorted(line, line) < top
+                parts_out.append([query_keys[s : s + 256][line[first]], row_keys[column[first]], exact[first]])
             out = [np.concatenate(c) for c in zip(*parts_out, strict=True)]
         return pa.table(dict(zip(names, out, strict=True)))
 

@@ -78,3 +78,18 @@ def test_queue_opens_the_own_leaf_first():
         assert first == [(first[0][0], int(leaf_of(trees[first[0][0]], v[None])[0]))]
         every = opened(trees, counts, v, 1e9)
         assert len(every) == sum((c > 0).sum() for c in counts) and len(set(every)) == len(every)
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e7, 1e8])
+def test_ties_and_large_norms_are_ranked_exactly(spark, offset):
+    """Vectors of zeros and ones, which tie by hundreds, and the same far from zero."""
+    r = np.random.default_rng(8)
+    step = 8.0 if offset else 1.0  # what single precision can tell apart there
+    rows = [(i, (offset + step * (r.random(24) < 0.5)).astype(np.float32).tolist()) for i in range(900)]
+    got = {}
+    for q in nearest(frame(spark, rows), every=30, trees=2, leaf=10_000, search=100.0).collect():
+        got.setdefault(q["query_id"], []).append((q["rank"], q["vec_id"], q["score"]))
+    for q, expected in brute(rows, 30, 10).items():
+        found = sorted(got[q])
+        assert [f[1] for f in found] == [i for _, i in expected]
+        assert np.allclose([f[2] for f in found], [d for d, _ in expected], rtol=1e-12)
