@@ -35,23 +35,28 @@ HEAD = struct.Struct("<4sIQQQ")
 
 
 def _selectors(values: np.ndarray, block: int) -> np.ndarray:
-    """For every position the selector that holds most values from there to its block's end."""
+    """For every position the selector that holds most values from there to its block's end.
+
+    ``widest`` is, per position, the widest need among the next values, as many as the selector
+    holds; windows grow from selector to selector. Places behind a block's end need nothing.
+    """
     n = len(values)
-    place = np.arange(n)
-    left = np.minimum((place // block + 1) * block, n) - place
-    chosen = np.zeros(n, np.int8)
-    most = int(values.max()) if n else 0
-    for s in range(15, 0, -1):
-        width = int(WIDTHS[s])
-        if s < 15 and not (values < np.uint64(1 << width)).any():
+    blocks, longest, most = -(-n // block), int(COUNTS.max()), int(values.max())
+    need = np.zeros(blocks * block, np.uint8)
+    for width in WIDTHS[1:]:
+        if most < 1 << int(width):
             break
-        if most < 1 << width:
-            chosen[:] = s
-            continue
-        stop = np.where(values >= np.uint64(1 << width), place, n)
-        stop = np.minimum.accumulate(stop[::-1])[::-1]
-        chosen[stop - place >= np.minimum(COUNTS[s], left)] = s
-    return chosen
+        need[:n] += values >= np.uint64(1 << int(width))
+    least = int(need[:n].min())
+    widest = np.zeros((blocks, block + longest), np.uint8)
+    widest[:, :block] = need.reshape(blocks, block)
+    chosen, window = np.zeros((blocks, block), np.int8), 1
+    for s in range(15, least, -1):
+        further, window = int(COUNTS[s]) - window, int(COUNTS[s])
+        if further:
+            widest[:, :-further] = np.maximum(widest[:, :-further], widest[:, further:])
+        chosen[widest[:, :block] < s] = s
+    return chosen.ravel()[:n]
 
 
 def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,13 +23,45 @@ from . import simple8b
 SEGMENT_IDS = 1 << 19
 #: Id that ends each document.
 END = 2
-#: Words whose ids a Python worker remembers between batches: about 40 MB of them.
-REMEMBERED = 200_000
+#: Bytes of words and ids that a Python worker remembers between batches.
+REMEMBERED = 48 << 20
+#: Bytes of text that are encoded in one step; a longer text is a step of its own.
+STEP = 4 << 20
 SCHEMA = "part int, seq int, docs long, ids long, data binary"
 
 _words: dict = {}
 
 
+class WordTable:
+    """Words with their ids: word ``k`` has ``sizes[k]`` ids from ``starts[k]`` on in ``ids``.
+
+    It is kept as Arrow and array columns, a few bytes a word more than its content.
+    """
+
+    def __init__(self):
+        self.words = pa.array([], pa.string())
+        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    @property
+    def nbytes(self) -> int:
+        return self.words.nbytes + self.ids.nbytes + self.sizes.nbytes
+
+    def add(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+
+    def places(self, words: pa.Array) -> pa.Array:
+        """The number of each word, null where it is not known."""
+        return pc.index_in(words, value_set=self.words)
+
+    def gathered(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words ``rows`` one after the other, how many each has)."""
+        starts, sizes = (np.cumsum(self.sizes) - self.sizes)[rows], self.sizes[rows]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)], sizes
+
+
 class WordTokenizer:
     """Ids of whole texts from the ids of their words.
 
@@ -47,53 +80,63 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known, self.last = _words.setdefault(zlib.crc32(definition.encode()), ({}, []))
-        if not self.last:
-            size = self.tokenizer.get_vocab_size()
-            self.last.append(np.array([(self.tokenizer.id_to_token(i) or "").endswith(self.MARK) for i in range(size)]))
+        self.name = zlib.crc32(definition.encode())
+        size = self.tokenizer.get_vocab_size()
+        self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith(self.MARK) for i in range(size)])
 
     def _encode(self, texts):
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
-    def encoded(self, new: list[bytes]) -> dict:
-        """The ids of some words, as bytes of unsigned 32-bit numbers."""
-        found, plain, pieces, rest = {}, [], [], []
-        for w in new:
-            text = w.decode()
-            m = self.PLAIN.fullmatch(text)
+    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order in which the words were encoded, their ids in it, how many each has)."""
+        order, ids, sizes = [], [], []
+        plain, pieces, rest = [], [], []
+        for i, word in enumerate(words):
+            m = self.PLAIN.fullmatch(word)
             if m:
-                plain.append(w)
+                plain.append(i)
                 pieces.append(2 if m[1] else 1)
             else:
-                rest.append(w)
+                rest.append(i)
         for k in range(0, len(plain), 5_000):
             part = plain[k : k + 5_000]
-            ids = np.array(self._encode([b" ".join(part).decode()])[0].ids, np.uint32)
-            ends = np.flatnonzero(self.last[0][ids]) + 1
+            found = np.array(self._encode([" ".join([words[i] for i in part])])[0].ids, np.uint32)
+            ends = np.flatnonzero(self.last[found]) + 1
             count = np.cumsum(pieces[k : k + 5_000])
             if len(ends) != count[-1]:
                 rest += part
                 continue
-            raw, start = ids.tobytes(), 0
-            for w, end in zip(part, (4 * ends[count - 1]).tolist(), strict=True):
-                found[w] = raw[start:end]
-                start = end
+            order += part
+            ids.append(found)
+            sizes.append(np.diff(ends[count - 1], prepend=0))
         for k in range(0, len(rest), 5_000):
             part = rest[k : k + 5_000]
-            for w, e in zip(part, self._encode([w.decode() for w in part]), strict=True):
-                found[w] = array("I", e.ids).tobytes()
-        return found
-
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            found = [e.ids for e in self._encode([words[i] for i in part])]
+            order += part
+            sizes.append(np.array([len(f) for f in found], np.int64))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+        nothing = [np.zeros(0, np.int64)]
+        return np.array(order, np.int64), np.concatenate(ids or nothing).astype(np.uint32), np.concatenate(sizes or nothing)
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; how many each text has)."""
-        split = [(t or "").encode().split() for t in texts]
-        known = self.known
-        found = self.encoded(list(set().union(*split).difference(known)))
-        if len(known) + len(found) <= REMEMBERED:
-            known.update(found)
-        end = array("I", [END]).tobytes()
-        joined = [b"".join([known[w] if w in known else found[w] for w in s]) + end for s in split]
-        return np.frombuffer(b"".join(joined), np.uint32), np.array([len(j) // 4 for j in joined], np.int64)
+        split = pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
+        coded = split.flatten().dictionary_encode()
+        known = _words.setdefault(self.name, WordTable())
+        new = coded.dictionary.filter(known.places(coded.dictionary).is_null())
+        order, ids, sizes = self.encoded(new.to_pylist())
+        if known.nbytes + new.nbytes + ids.nbytes + sizes.nbytes > REMEMBERED:
+            # Begin anew, with the words of these texts only.
+            known = _words[self.name] = WordTable()
+            new = coded.dictionary
+            order, ids, sizes = self.encoded(new.to_pylist())
+        known.add(new.take(pa.array(order)), ids, sizes)
+        rows = known.places(coded.dictionary).to_numpy(zero_copy_only=False)[coded.indices.to_numpy()]
+        ids, sizes = known.gathered(rows)
+        # The words of text i end at edges[i + 1]; its end id follows their ids.
+        edges = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+        before = np.concatenate([[0], np.cumsum(sizes)])[edges]
+        return np.insert(ids, before[1:], np.uint32(END)), np.diff(before) + 1
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, segment_ids: int = SEGMENT_IDS) -> None:
@@ -121,14 +164,13 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, segment_ids: int = SEG
         for batch in batches:
             made = made or WordTokenizer(shared.value)
             doc_ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            texts = batch.column(1).to_pylist()
-            first = 0
+            texts = batch.column(1)
+            edges = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            step, first = min(STEP, 4 * segment_ids), 0
             while first < len(texts):
-                last, length = first, 0
-                while last < len(texts) and (last == first or length < min(1 << 20, 2 * segment_ids)):
-                    length += len(texts[last] or "")
-                    last += 1
-                ids, counts = made.ids(texts[first:last])
+                done = edges[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(edges, done + step, "right")))
+                ids, counts = made.ids(texts.slice(first, last - first))
                 held.append(ids)
                 held_counts.append(counts)
                 held_ids.append(doc_ids[first:last])
