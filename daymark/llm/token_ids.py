@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from itertools import chain
 from pathlib import Path
@@ -23,10 +22,10 @@ from . import simple8b
 SEGMENT_IDS = 1 << 19
 #: Id that ends each document.
 END = 2
-#: Bytes of words and ids that a Python worker remembers between batches.
+#: Bytes of words and ids that a Python worker remembers between batches; above them it begins anew.
 REMEMBERED = 48 << 20
 #: Bytes of text that are encoded in one step; a longer text is a step of its own.
-STEP = 4 << 20
+STEP = 8 << 20
 SCHEMA = "part int, seq int, docs long, ids long, data binary"
 
 _words: dict = {}
@@ -50,9 +49,9 @@ class WordTable:
         self.words = pa.concat_arrays([self.words, words])
         self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
 
-    def places(self, words: pa.Array) -> pa.Array:
-        """The number of each word, null where it is not known."""
-        return pc.index_in(words, value_set=self.words)
+    def places(self, words: pa.Array) -> np.ndarray:
+        """The number of each word, -1 where it is not known."""
+        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
 
     def gathered(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the words ``rows`` one after the other, how many each has)."""
@@ -65,14 +64,19 @@ class WordTable:
 class WordTokenizer:
     """Ids of whole texts from the ids of their words.
 
-    For tokenizers that drop white space, encode each stretch of letters and each stretch of
-    marks for itself, and end a stretch with an id whose token says so (``</w>``): the ids of a
-    text are those of its words in turn. Words are cut at ASCII white space only. New words of
-    plain letters, with or without marks behind them, are encoded many in one call and told
-    apart by the ids that end a stretch; all others are encoded one by one.
+    For tokenizers that drop white space, do not tell capitals from small letters, encode each
+    stretch of letters and each stretch of marks for itself, and end a stretch with an id whose
+    token says so (``</w>``): the ids of a text are those of its words in turn, and the ids of a
+    word of plain letters with marks behind them are those of both stretches. Words are cut at
+    ASCII white space only. New stretches are encoded many in one call and told apart by the ids
+    that end them; all other words are encoded one by one.
     """
 
-    PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž]+([.,;:!?]*)")
+    # Letters of Latin scripts that have one small letter each and are no compositions.
+    LETTERS = "[A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž]+"
+    MARKS = r"[!-/:-@\[-`{-~]"
+    WORD = f"^(?P<letters>{LETTERS})(?P<marks>{MARKS}*)$"
+    STRETCH = f"^(?:{LETTERS}|{MARKS}+)$"
     MARK = "</w>"
 
     def __init__(self, definition: str):
@@ -87,54 +91,53 @@ class WordTokenizer:
     def _encode(self, texts):
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
-    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(order in which the words were encoded, their ids in it, how many each has)."""
-        order, ids, sizes = [], [], []
-        plain, pieces, rest = [], [], []
-        for i, word in enumerate(words):
-            m = self.PLAIN.fullmatch(word)
-            if m:
-                plain.append(i)
-                pieces.append(2 if m[1] else 1)
-            else:
-                rest.append(i)
-        for k in range(0, len(plain), 5_000):
-            part = plain[k : k + 5_000]
-            found = np.array(self._encode([" ".join([words[i] for i in part])])[0].ids, np.uint32)
+        order, ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        single = pc.match_substring_regex(words, self.STRETCH).to_numpy(zero_copy_only=False)
+        stretches, rest = np.flatnonzero(single), [np.flatnonzero(~single)]
+        for k in range(0, len(stretches), 5_000):
+            part = stretches[k : k + 5_000]
+            found = np.array(self._encode([" ".join(words.take(pa.array(part)).to_pylist())])[0].ids, np.uint32)
             ends = np.flatnonzero(self.last[found]) + 1
-            count = np.cumsum(pieces[k : k + 5_000])
-            if len(ends) != count[-1]:
-                rest += part
+            if len(ends) != len(part):
+                rest.append(part)
                 continue
-            order += part
+            order.append(part)
             ids.append(found)
-            sizes.append(np.diff(ends[count - 1], prepend=0))
-        for k in range(0, len(rest), 5_000):
-            part = rest[k : k + 5_000]
-            found = [e.ids for e in self._encode([words[i] for i in part])]
-            order += part
+            sizes.append(np.diff(ends, prepend=0))
+        alone = np.concatenate(rest)
+        for k in range(0, len(alone), 5_000):
+            part = alone[k : k + 5_000]
+            found = [e.ids for e in self._encode(words.take(pa.array(part)).to_pylist())]
+            order.append(part)
             sizes.append(np.array([len(f) for f in found], np.int64))
             ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
-        nothing = [np.zeros(0, np.int64)]
-        return np.array(order, np.int64), np.concatenate(ids or nothing).astype(np.uint32), np.concatenate(sizes or nothing)
+        return np.concatenate(order), np.concatenate(ids), np.concatenate(sizes)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; how many each text has)."""
         split = pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
         coded = split.flatten().dictionary_encode()
+        # Every word is a head and a tail: letters and marks, or the whole word and nothing.
+        forms = pc.extract_regex(coded.dictionary, self.WORD)
+        plain = forms.is_valid()
+        heads = pc.if_else(plain, pc.utf8_lower(pc.struct_field(forms, "letters")), coded.dictionary)
+        tails = pc.if_else(plain, pc.struct_field(forms, "marks"), "")
+        pieces = pa.concat_arrays([heads, tails]).dictionary_encode()
         known = _words.setdefault(self.name, WordTable())
-        new = coded.dictionary.filter(known.places(coded.dictionary).is_null())
-        order, ids, sizes = self.encoded(new.to_pylist())
-        if known.nbytes + new.nbytes + ids.nbytes + sizes.nbytes > REMEMBERED:
-            # Begin anew, with the words of these texts only.
+        if known.nbytes > REMEMBERED:
             known = _words[self.name] = WordTable()
-            new = coded.dictionary
-            order, ids, sizes = self.encoded(new.to_pylist())
-        known.add(new.take(pa.array(order)), ids, sizes)
-        rows = known.places(coded.dictionary).to_numpy(zero_copy_only=False)[coded.indices.to_numpy()]
-        ids, sizes = known.gathered(rows)
+        places = known.places(pieces.dictionary)
+        new = np.flatnonzero(places < 0)
+        words = pieces.dictionary.take(pa.array(new))
+        order, ids, sizes = self.encoded(words)
+        places[new[order]] = len(known.words) + np.arange(len(order))
+        known.add(words.take(pa.array(order)), ids, sizes)
+        both = places[pieces.indices.to_numpy()].reshape(2, -1).T
+        ids, sizes = known.gathered(both[coded.indices.to_numpy()].ravel())
         # The words of text i end at edges[i + 1]; its end id follows their ids.
-        edges = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+        edges = 2 * (split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py())
         before = np.concatenate([[0], np.cumsum(sizes)])[edges]
         return np.insert(ids, before[1:], np.uint32(END)), np.diff(before) + 1
 

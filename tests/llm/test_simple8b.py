@@ -83,3 +83,44 @@ def test_awkward_rows(spark):
 
 def test_empty_table(spark):
     assert token_ids(documents(spark, []), tokenizer_path()).collect() == []
+
+
+def test_words_by_stretches_equal_whole_texts():
+    """Every letter of the fast class, marks behind words, and what looks like them."""
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from daymark.llm import token_ids as module
+
+    r, definition = random.Random(3), open(tokenizer_path()).read()
+    whole, fast = Tokenizer.from_str(definition), module.WordTokenizer(definition)
+    letters = [chr(c) for c in range(0x41, 0x180) if chr(c).isalpha()]
+    marks = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+    odd = ["́", "̱", " ", "​", "İ", "ŉ", "ẖ", "ﬁ", "Σ", "5", "'s", "'LL", "<|endoftext|>", "日", "👩", "ẞ"]
+    texts = ["".join(letters), " ".join(letters), " ".join(marks), "".join(marks), "H̱ ẖ <|ENDOFTEXT|> a<|endoftext|>.", "", None]
+    for _ in range(400):
+        words = []
+        for _ in range(r.randint(1, 30)):
+            word = "".join(r.choices(letters, k=r.randint(0, 6))) + "".join(r.choices(marks, k=r.choice([0, 0, 1, 3])))
+            words.append(word + (r.choice(odd) + r.choice(letters) if r.random() < 0.15 else ""))
+        texts.append(r.choice([" ", "\n", "  \t"]).join(words))
+    for _ in range(2):  # without and with remembered words
+        ids, counts = fast.ids(pa.array(texts))
+        ends = np.cumsum(counts)
+        for text, a, b in zip(texts, ends - counts, ends, strict=True):
+            assert ids[a:b].tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, END], text
+
+
+def test_the_word_table_begins_anew_above_its_bound(monkeypatch):
+    import pyarrow as pa
+
+    from daymark.llm import token_ids as module
+
+    monkeypatch.setattr(module, "REMEMBERED", 2_000)
+    fast = module.WordTokenizer(open(tokenizer_path()).read())
+    texts = [prose(k, 200) for k in range(30)]
+    at_once = [module.WordTokenizer.ids(fast, pa.array([t]))[0].tolist() for t in texts]
+    assert module._words[fast.name].nbytes < 30_000
+    assert [i for t in at_once for i in t] == fast.ids(pa.array(texts))[0].tolist()
