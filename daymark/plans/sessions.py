@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.sessions import average_events, average_events_by_host, sessionize
 from ..session import new_path
 from ..sources.readers import file_events
+from ..streaming.arrivals import BATCH, ArrivalLog, record_arrivals
 from ..streaming.sessions import SessionTable, run_sessions, stream_sessions
 from .inputs import table, web_events
 
@@ -17,6 +18,8 @@ GAP = dt.timedelta(hours=6)
 DELAY = dt.timedelta(minutes=10)
 METRIC, PATTERN = "avg_session_events_pattern", "%i%"
 HOSTS = ["click", "error", "purchase"]
+# Rows more than this behind the newest row of the runs before are late.
+LATENESS = dt.timedelta(hours=12)
 KEYS = ["ip", "host"]
 
 
@@ -91,7 +94,33 @@ def stream_host_totals_compacted(spark: SparkSession, folder: str) -> DataFrame:
     return stored.read_totals(spark).join(sums, "host")
 
 
+def late_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that came late, the run that brought them, and the counts over all runs.
+
+    The streaming job runs once for every week in which events arrive and reads what has come
+    since its last run. An event arrives as many hours after its time as its value says.
+    """
+    events = table(spark, folder, "events")
+    arrival = F.expr("ts + make_dt_interval(0, CAST(floor(coalesce(value, 0)) AS INT), 0, 0)")
+    arriving = events.withColumn("_week", F.date_trunc("week", arrival).cast("date"))
+    base = new_path(spark, "arrivals")
+    log = ArrivalLog(f"{base}/log", "ts", LATENESS)
+    # As many rows as the calendar has weeks.
+    for week in sorted(r["_week"] for r in arriving.select("_week").distinct().toLocalIterator()):
+        arrived = arriving.where(F.col("_week") == F.lit(week)).drop("_week")
+        arrived.write.mode("append").parquet(f"{base}/source")
+        stream = file_events(spark, f"{base}/source", events.schema)
+        record_arrivals(stream, log, f"{base}/checkpoint", available_now=True).awaitTermination()
+    counts = log.totals(spark).first()
+    return log.late_rows(spark, events.schema).select(
+        "event_id", "ts", "user_id", "event_type", BATCH,
+        F.lit(counts["late_count"]).cast("long").alias("late_count"),
+        F.lit(counts["row_count"]).cast("long").alias("row_count"),
+    )
+
+
 QUERIES = {
+    "late_events": late_events,
     "sessions": sessions,
     "avg_session_events_pattern": pattern_average,
     "avg_session_events_per_host": host_averages,
@@ -136,6 +165,19 @@ def _pattern(source: str) -> str:
 
 
 ORACLES = {
+    "late_events": """
+        WITH arriving AS (
+          SELECT *, date_trunc('week', ts + to_hours(CAST(floor(coalesce(value, 0)) AS INTEGER))) AS week
+          FROM events),
+        weeks AS (
+          SELECT week, row_number() OVER (ORDER BY week) - 1 AS arrival_batch,
+                 max(max(ts)) OVER (ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high
+          FROM arriving GROUP BY week),
+        late AS (
+          SELECT event_id, ts, user_id, event_type, arrival_batch
+          FROM arriving JOIN weeks USING (week) WHERE ts < high - INTERVAL 12 HOUR)
+        SELECT *, count(*) OVER () AS late_count, (SELECT count(*) FROM events) AS row_count FROM late
+    """,
     "sessions": f"WITH {_SESSIONS} SELECT * FROM all_sessions",
     "avg_session_events_pattern": _pattern("all_sessions"),
     "avg_session_events_per_host": _per_host("all_sessions"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -152,3 +152,44 @@ def jdbc_write(df: DataFrame, options: dict[str, str], mode: str = "append") ->
     if mode == "overwrite":
         writer = writer.option("truncate", "true")
     writer.save()
+
+
+def upsert_statement(table: str, staging: str, columns: Sequence[str], keys: Sequence[str]) -> str:
+    """One statement that puts the rows of ``staging`` into ``table``, by its unique ``keys``.
+
+    Rows that are in the staging table twice, as after a repeated task, count once.
+    """
+    missing = [k for k in keys if k not in columns]
+    if not keys or missing:
+        raise ValueError(f"keys must be among the columns: {missing or keys}")
+
+    def listed(names: Sequence[str]) -> str:
+        return ", ".join(_quoted(n) for n in names)
+
+    changes = ", ".join(f"{_quoted(c)} = EXCLUDED.{_quoted(c)}" for c in columns if c not in keys)
+    action = f"DO UPDATE SET {changes}" if changes else "DO NOTHING"
+    return (
+        f"INSERT INTO {table} ({listed(columns)}) SELECT DISTINCT {listed(columns)} FROM {staging} "
+        f"WHERE TRUE ON CONFLICT ({listed(keys)}) {action}"
+    )
+
+
+def _quoted(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def jdbc_upsert(
+    df: DataFrame, options: dict[str, str], keys: Sequence[str], execute: Callable[[str], object]
+) -> None:
+    """Insert or replace rows over JDBC, so that a write that runs again changes nothing.
+
+    All tasks fill a staging table beside ``options["dbtable"]``; then ``execute``, for instance
+    the ``execute`` of a connection that commits by itself, runs one statement, and readers see
+    all rows of the write or none. The target needs a unique constraint on ``keys``. Two
+    writes to one target must not run at the same time.
+    """
+    table = options["dbtable"]
+    staging = f"{table}_staging"
+    statement = upsert_statement(table, staging, df.columns, keys)
+    jdbc_write(df, {**options, "dbtable": staging}, "overwrite")
+    execute(statement)
