@@ -1,25 +1,28 @@
 """Personal data and the terms that give it away, by DataFrame expressions only.
 
-Base spans come from fixed patterns. Every distinct value found is a protected entity. A term
-near it reveals the entity as far as the corpus makes one follow from the other: of the documents
-that hold the term, the share that hold it near the entity is the entity's probability given
-the term. Terms for which this reaches a threshold, with enough texts to tell, are added as
-spans in the texts in which they stand near that entity, there at every place.
+Base spans come from fixed patterns. Every distinct value found is a protected entity. How
+strongly a term reveals an entity is measured in bits over whole texts of the corpus: the
+entity's own information is -log2 of its share of all documents, and the term gives away as much
+of it as their pointwise mutual information says. Terms that leave less of it than a threshold
+are added as spans in the texts that hold the entity, there at every place.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import written
 
-#: Characters on either side of an entity in which terms are looked for.
-REACH = 80
-#: Share of a term's texts that must hold it near the entity.
-DISCLOSURE = 0.5
-#: Distinct texts in which term and entity must stand near each other.
+#: Bits of an entity's information that a term may leave and is still added.
+LEFT = 1.0
+#: Bits that a term must give away at least.
+GIVEN = 1.0
+#: Distinct texts in which term and entity must stand together.
 SUPPORT = 2
+#: Documents, with the corpus' own share of the entity, that are added to those of each term, so
+#: that few documents prove little.
+PRIOR = 1.0
 
 KINDS = ("email", "ip", "card", "phone")
 # Each gives the matches of the stated pattern that can pass its check. Stretches are taken
@@ -45,9 +48,8 @@ CHECKS = {
 }
 SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string,value:string>>"
 NONE = f"CAST(array() AS {SPAN})"
-#: A term is a word of letters that white space surrounds; marks of punctuation may follow it.
-TERM = r"(?<!\S)\p{L}{3,}(?=[.,;:!?]*(?!\S))"
-
+#: A term is a run of letters and digits, with single apostrophes and hyphens inside.
+TERM = r"[\p{L}\p{N}][\p{L}\p{M}\p{N}]*+(?:['’-][\p{L}\p{N}][\p{L}\p{M}\p{N}]*+)*+"
 
 def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -85,80 +87,86 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return texts.withColumn("spans", F.expr(f"array_sort(concat({arrays}))"))
 
 
-def _contexts(reach: int) -> str:
-    """Per span its entity and the terms on both sides, with their places in the text."""
-    left = f"substring(text, greatest(s.start - {reach}, 0) + 1, least(s.start, {reach}))"
-    right = f"substring(text, s.end + 1, {reach})"
-    # A word cut by the edge of the reach is no term.
-    shift = f"(greatest(s.start - {reach}, 0) + CASE WHEN s.start > {reach} THEN length(regexp_extract(c, '^\\\\S*', 0)) ELSE 0 END)"
-    whole_left = f"CASE WHEN s.start > {reach} THEN regexp_replace(c, '^\\\\S*', '') ELSE c END"
-    whole_right = f"CASE WHEN length(c) = {reach} THEN regexp_replace(c, '\\\\S*$', '') ELSE c END"
-    item = "named_struct('term', lower({v}), 'start', {a}, 'end', {b})"
+ENTITIES = (
+    f"array_distinct(transform(spans, s -> concat(s.kind, ':', CASE WHEN s.kind IN ('card', 'phone') "
+    f"THEN {DIGITS} ELSE lower(s.value) END)))"
+)
+TERMS = f"array_distinct(transform(regexp_extract_all(coalesce(text, ''), {_quoted(TERM)}, 0), v -> lower(v)))"
 
-    def moved(places: str, by: str) -> str:
-        return f"transform({places}, t -> named_struct('term', t.term, 'start', t.start + {by}, 'end', t.end + {by}))"
 
-    before = f"transform(array({left}), c -> {moved(_places(f'({whole_left})', TERM, item), shift)})[0]"
-    after = f"transform(array({right}), c -> {moved(_places(f'({whole_right})', TERM, item), 's.end')})[0]"
-    entity = f"concat(s.kind, ':', CASE WHEN s.kind IN ('card', 'phone') THEN {DIGITS} ELSE lower(s.value) END)"
-    return f"transform(spans, s -> named_struct('entity', {entity}, 'terms', concat({before}, {after})))"
+def _given(total: int) -> tuple[Column, Column]:
+    """(bits of the entity's information that the term gives, bits that it leaves).
 
+    The entity's probability given the term is estimated from the documents with both among
+    those with the term, and ``PRIOR`` documents that hold the entity as often as all do.
+    """
+    share = F.col("holders") / F.lit(total)
+    given_term = (F.col("together") + PRIOR * share) / (F.col("texts") + PRIOR)
+    return F.log2(given_term / share), -F.log2(given_term)
 
-def revealing_terms(
-    near: DataFrame, docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT
-) -> DataFrame:
-    """(term, entity, together, texts, bits): terms that reveal an entity.
 
-    ``near`` has a row (name of the text, entity, term) for each document and pair in it,
-    ``docs`` all documents. ``together`` counts the documents with the term near the entity,
-    ``texts`` those with the term anywhere, ``bits`` is the pointwise mutual information of
-    both. ``support`` counts different texts, so copies lend a term no weight.
+def revealing_pairs(
+    marked: DataFrame, docs: DataFrame, left: float = LEFT, given: float = GIVEN, support: int = SUPPORT
+) -> tuple[DataFrame, DataFrame]:
+    """Terms that reveal an entity, and where term and entity meet.
 
-    All words of the corpus are counted, combined before the shuffle, and only the counts meet
-    the terms.
+    ``marked`` has a row (name, copies, entities, terms) per distinct text that holds an entity,
+    ``docs`` all documents. The first result is (entity, term, together, texts, holders, bits),
+    the numbers counting documents; the second (name, entity, term) for the texts that hold
+    both. ``support`` counts different texts, so exact copies lend a term no weight.
+
+    All words of the corpus are counted, combined before the shuffle. A term in more documents
+    than ``2 ** left`` times those of an entity, with the prior, leaves too much to be telling, so
+    entities meet only the words that are rare enough for them; this loses no term.
     """
-    together = near.groupBy("term", "entity").agg(F.count("*").alias("together"), F.countDistinct("name").alias("different"))
-    often = written(together.where(F.col("different") >= support).drop("different"), "together")
-    holders = near.groupBy("entity").agg(F.countDistinct("name").alias("holders"))
-    words = docs.select(
-        F.explode(F.expr(f"array_distinct(transform(regexp_extract_all(coalesce(text, ''), {_quoted(TERM)}, 0), v -> lower(v)))")).alias("term")
+    total = docs.count()
+    held = docs.select(F.explode(F.expr(TERMS)).alias("term")).groupBy("term").agg(F.count("*").alias("texts"))
+    entities = marked.select("name", "copies", F.explode("entities").alias("entity"))
+    counted = entities.groupBy("entity").agg(F.sum("copies").alias("holders"), F.count("*").alias("different"))
+    known = written(
+        entities.join(counted.where(F.col("different") >= support).drop("different"), "entity"), "entities"
+    )
+    rarest = known.groupBy("name").agg(F.max("holders").alias("most"))
+    words = marked.join(rarest, "name").select("name", "most", F.explode("terms").alias("term"))
+    allowed = F.lit(2.0**left)
+    rare = words.join(held, "term").where(F.col("texts") <= allowed * (F.col("most") + PRIOR))
+    pairs = rare.drop("most").join(known, "name").where(F.col("texts") <= allowed * (F.col("holders") + PRIOR))
+    pairs = written(pairs, "pairs")
+    bits, rest = _given(total)
+    telling = (
+        pairs.groupBy("entity", "term")
+        .agg(
+            F.sum("copies").alias("together"), F.count("*").alias("different"),
+            F.first("texts").alias("texts"), F.first("holders").alias("holders"),
+        )
+        .where((F.col("different") >= support) & (rest <= left) & (bits >= given))
     )
-    held = words.groupBy("term").agg(F.count("*").alias("texts"))
-    total = docs.agg(F.count("*").alias("total"))
-    known = often.join(held, "term").join(holders, "entity").where(F.col("together") >= disclosure * F.col("texts"))
-    bits = F.log2(F.col("together") * F.lit(total.first()["total"]) / (F.col("texts") * F.col("holders")))
-    return known.select("term", "entity", "together", "texts", bits.alias("bits"))
+    return telling.select("entity", "term", "together", "texts", "holders", bits.alias("bits")), pairs.select("name", "entity", "term")
 
 
 def all_spans(
-    docs: DataFrame, reach: int = REACH, disclosure: float = DISCLOSURE, support: int = SUPPORT, with_text: bool = False
+    docs: DataFrame, left: float = LEFT, given: float = GIVEN, support: int = SUPPORT, with_text: bool = False
 ) -> DataFrame:
-    """doc_id, spans (base) and added (terms that reveal an entity near them), maybe the text.
+    """doc_id, spans (base) and added (terms that reveal an entity of the text), maybe the text.
 
     Added spans have the kind ``term`` and never lie inside a base span. See ``personal_data``.
     """
-    found = base_spans(docs).withColumn("name", F.xxhash64("text")).withColumn(
-        "near", F.expr(f"CASE WHEN size(spans) > 0 THEN {_contexts(reach)} END")
+    text = "text" if with_text else "CASE WHEN size(spans) > 0 THEN text END AS text"
+    found = written(base_spans(docs).selectExpr("doc_id", "xxhash64(text) AS name", "spans", text), "spans")
+    marked = found.where("size(spans) > 0").groupBy("name").agg(
+        F.count("*").alias("copies"), F.first("text").alias("text"), F.first("spans").alias("spans")
     )
+    marked = marked.selectExpr("name", "copies", f"{ENTITIES} AS entities", f"{TERMS} AS terms")
+    telling, pairs = revealing_pairs(marked, docs, left, given, support)
+    hits = pairs.join(telling.select("entity", "term"), ["entity", "term"]).groupBy("name").agg(F.collect_set("term").alias("telling"))
     item = f"named_struct('start', {{a}}, 'kind_no', {len(KINDS)}, 'end', {{b}}, 'kind', 'term', 'value', lower({{v}}))"
-    everywhere = _places("text", TERM, item, "array_contains(around, lower({v}))")
-    beside = f"transform(flatten(near.terms), t -> named_struct('start', t.start, 'kind_no', {len(KINDS)}, 'end', t.end, 'kind', 'term', 'value', t.term))"
-    # All places of the words that stand near an entity of the text.
-    places = f"array_sort(array_distinct(concat({beside}, transform(array(array_distinct(flatten(near.terms).term)), around -> {everywhere})[0])))"
-    found = found.withColumn("places", F.expr(f"CASE WHEN near IS NOT NULL THEN {places} END")).withColumn(
-        "near", F.expr("transform(near, n -> named_struct('entity', n.entity, 'terms', array_distinct(n.terms.term)))")
-    )
-    kept = ["doc_id", "name", "spans", "near", "places"] + ["text"] * with_text
-    found = written(found.select(kept), "spans")
-    pairs = "array_distinct(flatten(transform(near, n -> transform(n.terms, t -> named_struct('entity', n.entity, 'term', t)))))"
-    met = found.where("near IS NOT NULL").select("name", F.explode(F.expr(pairs)).alias("p")).select("name", "p.*")
-    telling = revealing_terms(met, docs, disclosure, support).select("term", "entity")
-    hits = met.distinct().join(telling, ["term", "entity"]).groupBy("name").agg(F.collect_set("term").alias("telling"))
-    joined = found.join(hits, "name", "left")
-    return joined.select(
-        *[c for c in kept if c not in ("name", "near", "places")],
-        F.expr(f"coalesce(filter(places, t -> array_contains(telling, t.value) AND NOT exists(spans, s -> t.start < s.end AND s.start < t.end)), {NONE})").alias("added"),
-    )
+    places = _places("text", TERM, item, "array_contains(around, lower({v}))")
+    added = f"filter(transform(array(telling), around -> {places})[0], t -> NOT exists(spans, s -> t.start < s.end AND s.start < t.end))"
+    # Only texts with entities have a place in the join; the others pass beside it.
+    some = found.where("size(spans) > 0").join(hits, "name", "left")
+    kept = ["doc_id", "spans", *["text"] * with_text]
+    some = some.selectExpr(*kept, f"CASE WHEN telling IS NULL THEN {NONE} ELSE {added} END AS added")
+    return some.unionByName(found.where("size(spans) = 0").selectExpr(*kept, f"{NONE} AS added"))
 
 
 def _listed(spans: str) -> str:
@@ -166,19 +174,22 @@ def _listed(spans: str) -> str:
 
 
 def personal_data(
-    docs: DataFrame, reach: int = REACH, disclosure: float = DISCLOSURE, support: int = SUPPORT
+    docs: DataFrame, left: float = LEFT, given: float = GIVEN, support: int = SUPPORT
 ) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans.
 
     Places are code points, ends exclusive. ``spans`` lists base and added spans as
     kind:start:end by start and then by kind, ``base_sha256`` hashes the list of base spans.
+    A term is added if it leaves at most ``left`` bits of an entity's information, gives
+    ``given`` bits at least, and stands in ``support`` different texts with the entity; entities
+    and terms of one text only are therefore never told by terms.
 
     Null and empty texts have no spans. Spans of different kinds may overlap; both stay. Rows
     with equal texts get the same spans, whatever their doc_id, and count as one text where
     texts are counted. Very long texts are searched whole. An empty table gives an empty
     result. Other columns are ignored.
     """
-    rows = all_spans(docs, reach, disclosure, support)
+    rows = all_spans(docs, left, given, support)
     counts = [F.expr(f"CAST(size(filter(spans, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in KINDS]
     return rows.select(
         "doc_id", *counts,
@@ -188,10 +199,10 @@ def personal_data(
 
 
 def sanitised(
-    docs: DataFrame, reach: int = REACH, disclosure: float = DISCLOSURE, support: int = SUPPORT
+    docs: DataFrame, left: float = LEFT, given: float = GIVEN, support: int = SUPPORT
 ) -> DataFrame:
     """doc_id and the text with base spans generalised to their kind and revealing terms removed."""
-    rows = all_spans(docs, reach, disclosure, support, with_text=True)
+    rows = all_spans(docs, left, given, support, with_text=True)
     step = (
         "(acc, s) -> CASE WHEN s.start < acc.at THEN acc ELSE named_struct('at', s.end, 'out', "
         "concat(acc.out, substring(text, acc.at + 1, s.start - acc.at), CASE WHEN s.kind = 'term' THEN '' ELSE concat('[', s.kind, ']') END)) END"
