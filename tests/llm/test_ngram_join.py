@@ -1,11 +1,23 @@
+import random
+
+import numpy as np
+import pytest
 from cases import awkward, component_of, documents, edited, prose, shingles
 
 from daymark.llm.components import components
-from daymark.llm.ngram_join import needed, ngram_components, trie_links
+from daymark.llm.ngram_join import joined_sets, needed, ngram_components, trie_links
 
 
 def results(df):
-    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in df.collect()}
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in df.collect()}
+
+
+def links_of(texts):
+    sets = [shingles(t) for t in texts]
+    return {
+        a: sum(bool(x) and a != b and 100 * len(x & y) >= 75 * len(x | y) for b, y in enumerate(sets))
+        for a, x in enumerate(sets)
+    }
 
 
 def family(count=40):
@@ -22,12 +34,14 @@ def test_components_equal_all_pairs(spark):
     expected = component_of(list(enumerate(texts)))
     assert {k: v[1] for k, v in got.items()} == expected
     assert {k: v[0] for k, v in got.items()} == {k: len(shingles(t)) for k, t in enumerate(texts)}
+    assert {k: v[2] for k, v in got.items()} == links_of(texts)
 
 
 def test_parts_of_a_large_block_meet(spark):
-    texts = family()
+    texts = family() + family()[:9]
     got = results(ngram_components(documents(spark, texts), buckets=5, trie_tokens=200))
     assert {k: v[1] for k, v in got.items()} == component_of(list(enumerate(texts)))
+    assert {k: v[2] for k, v in got.items()} == links_of(texts)
 
 
 def test_awkward_rows(spark):
@@ -35,10 +49,12 @@ def test_awkward_rows(spark):
     assert len(rows) == 15
     got = {r[0]: r[1:] for r in rows if r[0] is not None}
     assert got[1][1] == got[2][1] == got[3][1] == 1
-    assert got[4] == (0, 4) and got[5] == (0, 5) and got[6] == (0, 6)
-    assert got[7] == (1, 7) and got[8] == (1, 7)
-    assert got[10] == (19996, 9) and got[11][1] == 11
-    assert sorted(r[1:] for r in rows if r[0] is None) == sorted([(got[1][0], 1), (0, None)], key=lambda x: x[0])
+    # Three rows have one set, a fourth links with them.
+    assert got[1][2] == got[2][2] == got[3][2] == 3
+    assert got[4] == (0, 4, 0) and got[5] == (0, 5, 0) and got[6] == (0, 6, 0)
+    assert got[7] == (1, 7, 1) and got[8] == (1, 7, 1)
+    assert got[10] == (19996, 9, 1) and got[11][1:] == (11, 1)
+    assert sorted(r[1:] for r in rows if r[0] is None) == sorted([(got[1][0], 1, 3), (0, None, 0)], key=lambda x: x[0])
 
 
 def test_empty_table(spark):
@@ -52,27 +68,51 @@ def test_the_threshold_is_exact():
                 assert (o >= needed(n, m, 75)) == (100 * o >= 75 * (n + m - o))
 
 
-def test_trie_finds_what_pairs_find():
-    import random
+def behind_each_other(sets):
+    starts = np.cumsum([0] + [len(s) for s in sets])
+    return np.array([x for s in sets for x in sorted(s)], np.int64), starts, np.diff(starts)
+
+
+def random_sets(seed, count):
+    r = random.Random(seed)
+    bases = [r.sample(range(400), r.randint(1, 60)) for _ in range(6)]
+    sets = set()
+    while len(sets) < count:
+        base = r.choice(bases)
+        sets.add(frozenset([*r.sample(base, r.randint(max(1, len(base) - 8), len(base))), *r.sample(range(400), r.randint(0, 5))]))
+    return sorted(map(sorted, sets))
+
+
+def linked(x, y):
+    return 100 * len({*x} & {*y}) >= 75 * len({*x} | {*y})
+
 
-    r = random.Random(3)
-    base = list(range(100))
-    sets = [tuple(sorted({*r.sample(base, 90), *r.sample(range(100, 200), k % 12)})) for k in range(60)]
-    links = trie_links(sets, [len(s) for s in sets], 75)
-    parent = list(range(60))
+@pytest.mark.parametrize("seed", range(5))
+def test_trie_finds_what_pairs_find(seed):
+    sets, others = random_sets(seed, 60), random_sets(seed + 100, 50)
+    for mine, theirs in [(sets, sets), (sets, others), (others[:1], sets), (sets, others[:1])]:
+        found = [(int(x), k) for k, which in trie_links(behind_each_other(mine), behind_each_other(theirs), 75) for x in which]
+        expected = {(a, b) for a, x in enumerate(mine) for b, y in enumerate(theirs) if linked(x, y)}
+        assert len(found) == len(set(found)) and set(found) == expected
 
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
 
+@pytest.mark.parametrize("split", [None, 25])
+def test_links_are_counted_with_copies_and_a_forest_holds_them_together(split):
+    sets = random_sets(9, 60)
+    tokens, starts, sizes = behind_each_other(sets)
+    copies, every = np.arange(1, 61), np.arange(60)
+    probe, looked = (every, every) if split is None else (every[:split], every[split:])
+    links, counts = joined_sets(tokens, starts, sizes, copies, probe, looked, 75)
+    pairs = {(a, b) for a in probe for b in looked if a != b and linked(sets[a], sets[b])}
+    both = pairs | {(b, a) for a, b in pairs}
+    assert counts.tolist() == [sum(int(copies[b]) for a, b in both if a == k) for k in range(60)]
+    assert {(int(a), int(b)) for a, b in links} <= {(int(a), int(b)) for a, b in both}
+    root = list(range(60))
     for a, b in links:
-        assert 100 * len({*sets[a]} & {*sets[b]}) >= 75 * len({*sets[a]} | {*sets[b]})
-        parent[find(a)] = find(b)
-    for a in range(60):
-        for b in range(a):
-            if 100 * len({*sets[a]} & {*sets[b]}) >= 75 * len({*sets[a]} | {*sets[b]}):
-                assert find(a) == find(b)
+        # A forest: no link joins what hangs together already.
+        assert root[a] != root[b]
+        root = [root[a] if x == root[b] else x for x in root]
+    assert all(root[a] == root[b] for a, b in pairs)
 
 
 def test_components_of_a_long_chain(spark):
