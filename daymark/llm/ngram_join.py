@@ -91,19 +91,23 @@ class Probes:
         held = np.bincount(tokens, minlength=vocabulary)
         # Of a token that most sets hold, those without it are listed instead.
         self.dense = 2 * held > self.count
-        by_token = np.argsort(tokens, kind="stable")
-        edges = np.concatenate([[0], np.cumsum(held)])
-        lists = []
-        for t in np.flatnonzero(self.dense):
-            without = np.ones(self.count, bool)
-            without[who[by_token[edges[t] : edges[t + 1]]]] = False
-            lists.append(np.flatnonzero(without))
-        sparse = who[by_token]
-        self.at, self.size = edges[:-1].copy(), held.copy()
-        if lists:
-            self.size[self.dense] = [len(x) for x in lists]
-            self.at[self.dense] = len(sparse) + np.concatenate([[0], np.cumsum(self.size[self.dense])[:-1]])
-        self.lists = np.concatenate([sparse, *lists])
+        sparse = who[np.argsort(tokens, kind="stable")]
+        self.size, self.at = held.copy(), np.cumsum(held) - held
+        lists, dense = [sparse], np.flatnonzero(self.dense)
+        place = np.cumsum(self.dense) - 1
+        common = self.dense[tokens]
+        row, col = place[tokens[common]], who[common]
+        order = np.argsort(row, kind="stable")
+        row, col = row[order], col[order]
+        at_once = max(1, (1 << 22) // max(1, self.count))
+        for first in range(0, len(dense), at_once):
+            some = slice(*np.searchsorted(row, [first, first + at_once]))
+            without = np.ones((min(at_once, len(dense) - first), self.count), bool)
+            without[row[some] - first, col[some]] = False
+            lists.append(np.nonzero(without)[1])
+        self.size[dense] = self.count - held[dense]
+        self.at[dense] = len(sparse) + np.cumsum(self.size[dense]) - self.size[dense]
+        self.lists = np.concatenate(lists)
 
     def _listed(self, tokens: np.ndarray) -> np.ndarray:
         """How often each set is on the lists of these tokens."""
