@@ -71,7 +71,8 @@ def contained(docs: DataFrame, items: DataFrame, size: int = SIZE, share: int =
     have no shingles and neither contain nor are contained; items of fewer than ``size`` words
     are found in documents with just these words. Rows without an id take no part. Repeated
     rows give one row per pair; of an id with several texts the fullest containment counts.
-    Ties cannot arise. Empty tables give an empty result. Other columns are ignored.
+    Ties cannot arise. Texts are searched whole, at any length. Empty tables give an empty
+    result. Other columns are ignored.
     """
     sketches = written(item_sketches(items, size, share), "sketches")
     # One row per power of two between the shortest and the longest item.

@@ -136,8 +136,8 @@ def mixture_rates(
     Tokens are words separated by white space. With the rates as expected numbers of copies,
     the mixture has ``budget`` of all tokens, and of these the share ``targets`` names for each
     domain, as far as rates of at least zero allow. Null and empty texts have no tokens, a
-    posterior like any other text, and a rate that follows from it. Equal texts get equal
-    rates. A domain without labels gets the smoothed constant posterior of ``gram_model.fit``.
+    posterior like any other text, and a rate that follows from it. Texts are scored whole, at
+    any length. Equal texts, and texts with equal posteriors, get equal rates. A domain without labels gets the smoothed constant posterior of ``gram_model.fit``.
     Repeated rows and null doc_id are returned as they come; an empty table gives an empty
     result. Other columns are ignored.
     """
@@ -164,7 +164,8 @@ def mixed(
 
     The whole part of a rate is the number of copies; the rest is one more copy for the rows
     whose hash of doc_id and text falls below it. So a run can be repeated, and equal rows of
-    one doc_id are decided alike.
+    one doc_id are decided alike. Texts are scored whole, at any length; null and empty ones have
+    the posterior of an empty text. Rows keep all their columns; an empty table stays empty.
     """
     models = train(docs, labels, fit_rows)
     steps = solve(_posterior_table(docs, models), targets or TARGETS, budget)

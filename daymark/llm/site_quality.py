@@ -46,7 +46,7 @@ def site_quality(
     the evidence moved by the odds of the path's posterior against the global rate, ``keep`` is
     1 where it is 0.5 or more.
 
-    Null and empty texts have the evidence of an empty text. A null host or path is a site of
+    Null and empty texts have the evidence of an empty text; long ones are scored whole. A null host or path is a site of
     its own. Unlabelled corpora get the constant evidence of ``gram_model.fit``. Repeated rows
     count and are returned as often as they come. Ties do not arise. An empty table gives an
     empty result. Other columns are ignored, also if they are named like those returned.

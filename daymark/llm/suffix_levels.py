@@ -6,8 +6,10 @@ stand at the same place in them. Only equality of long beginnings matters here,
 are ordered by the hash of their seed and then by the hash of the stretch that they stand for,
 not by their letters. A new batch gets such an array as a level of rank 0; two levels of equal
 rank are merged into one of the next rank, so n batches leave at most log2(n) + 1 levels. A
-scan merges sorted suffixes with the levels. Stretches that are equal as a whole need no more;
-where only a part of a stretch is repeated, its bytes are compared window by window.
+batch is not scanned against the levels when it is added: matches are found once, at the end, by
+grouping the suffixes of all levels by their hashes and joining the texts with what is repeated.
+Stretches that are equal as a whole need no more; where only a part of a stretch is repeated,
+its bytes are compared window by window.
 """
 
 from __future__ import annotations
@@ -336,8 +338,8 @@ def without_repeats(
 
     Null texts are empty. Equal texts are documents of their own, so each makes the other
     repeated; repeated rows and rows with equal or null doc_id are returned as they come. Very
-    long texts are cut into pieces that overlap by a window. An empty table gives an empty
-    result. Other columns are ignored.
+    long texts are cut into pieces that overlap by a window. Ties between equal seeds of a window
+    go to the leftmost and never change the result. An empty table gives an empty result. Other columns are ignored.
     """
     index = SuffixLevels(length, seed)
     part = F.pmod(F.xxhash64("doc_id"), F.lit(batches))

@@ -339,7 +339,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     give an empty text. Markup may be broken: open elements end with the page, end tags that
     fit nothing are passed over. Rows are independent, so repeated rows and null or equal ids
     are returned as they come. Equal scores are equal paths or are both above or below the
-    threshold. An empty table gives an empty result. Other columns are ignored.
+    threshold. Pages are read whole, at any length. An empty table gives an empty result. Other columns are ignored.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     return rows.mapInArrow(partial(_extracted), "page_id long, url string, text string, n_chars long")

@@ -27,7 +27,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
 
     The score is the classifier's probability for the whole text; only the text enters it.
     Texts that are null or empty have no n-gram but those of the padding and get the score of
-    an empty text. Labels that are null, or of unknown documents, are left out; a document
+    an empty text; long ones are scored whole. A score of exactly 0.5 is predicted toxic. Labels that are null, or of unknown documents, are left out; a document
     labelled twice counts as toxic if one label says so. If the labels lack one of the two
     classes, all scores are the smoothed share of label 1. Repeated rows are returned as often
     as they come, a null doc_id is not held out. Empty tables give empty results. Other
@@ -48,8 +48,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
 def without_toxic(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows of ``docs`` whose text is not predicted toxic, unchanged; see ``toxicity``.
 
-    The decision is made on the text itself, so rows with equal or null doc_id are judged each
-    for itself.
+    The decision is made on the whole text itself, at any length, so rows with equal or null
+    doc_id are judged each for itself. Null and empty texts have the score of an empty text; a
+    score of exactly 0.5 is toxic. An empty table stays empty.
     """
     import numpy as np
     import pyarrow as pa
