@@ -173,11 +173,11 @@ def split_by_ranges(
     max_rows: int = MAX_ROWS,
     totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """:func:`split_hot` for orders of any types: cells are range partitions of (keys, order).
+    """:func:`split_hot` for orders of any types: cells are slices of ranges of (keys, order).
 
-    Only rows of hot keys are dealt out, to so many ranges that each holds about a quarter of
-    ``max_rows``. A range may hold the end of one key and the beginning of the next: cells of a
-    key are numbered in order, with gaps. Without hot keys nothing is dealt out.
+    Only rows of hot keys are dealt out, and each cell holds at most a quarter of ``max_rows``. A
+    cell may hold the end of one key and the beginning of the next: cells of a key are numbered
+    in order, with gaps. Without hot keys nothing is dealt out.
     """
     totals = totals or {}
     counted = df.groupBy(*keys).agg(
@@ -192,7 +192,7 @@ def split_by_ranges(
         *df.columns, *totals, F.col("_rows").isNotNull().alias("_hot")
     )
     places = [F.col(c).asc_nulls_first() for c in keys] + ascending(order)
-    dealt = range_cells(marked.where("_hot"), places, -(-rows * SLICES // max_rows))
+    dealt = range_cells(marked.where("_hot"), places, rows, max(1, max_rows // SLICES))
     return dealt.unionByName(marked.where(~F.col("_hot")).withColumn("_cell", F.lit(0).cast("bigint")))
 
 
@@ -219,6 +219,7 @@ def _borrowed_rows(
     by_cell = _cell_window(keys)
     end = F.sum("_rows").over(by_cell.rowsBetween(Window.unboundedPreceding, 0))
     cell = F.struct(F.col("_cell").alias("cell"), (F.col("_end") - F.col("_rows")).alias("start"))
+    following = F.collect_list(cell).over(by_cell.rowsBetween(1, count))
     cells = (
         hot.groupBy(*keys, "_cell")
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -226,8 +227,9 @@ def _borrowed_rows(
         .select(
             *_on([*keys, "_cell"]),
             "_end",
-            F.collect_list(cell).over(by_cell.rowsBetween(1, count)).alias("_next"),
+            following.alias("_next"),
         )
+        .withColumn("_next", F.filter("_next", lambda c: c["start"] < F.col("_end") + F.lit(count)))
     )
     back = Window.partitionBy(*keys, "_cell").orderBy(*descending(order))
     tails = hot.withColumn("_back", F.row_number().over(back)).where(F.col("_back") <= count)

@@ -20,20 +20,31 @@ from ..session import materialize
 #: monotonically_increasing_id has the partition above these bits and the row below.
 ROW_BITS = 33
 
+#: Rows of a range, where the session's shuffles have too few partitions for that.
+RANGE_ROWS = 250_000
+
 
 def tie_break(df: DataFrame) -> Column:
     """Tells rows apart that agree in the columns of an order but not in all columns."""
     return F.xxhash64(*df.columns)
 
 
-def range_cells(df: DataFrame, order: Sequence[Column], cells: int) -> DataFrame:
-    """``df`` with ``_cell``, the number of a row's range of ``order`` (about ``cells`` of them).
+def range_cells(df: DataFrame, order: Sequence[Column], rows: int, cell_rows: int) -> DataFrame:
+    """``df``, which has ``rows`` rows, with ``_cell``: consecutive slices of ``order`` of at most
+    ``cell_rows`` rows, numbered in order with gaps.
 
-    Rows that agree in ``order`` are told apart by a hash of all columns, so they may lie in
-    several cells; equal rows stay together.
+    Cells are cut from sorted ranges, so the number of tasks, files and samples follows the rows
+    and not the cells. Rows that agree in ``order`` are told apart by a hash of all columns and
+    may lie in several cells.
     """
-    dealt = df.withColumn("_tie", tie_break(df)).repartitionByRange(cells, *order, F.col("_tie"))
-    return materialize(dealt.withColumn("_cell", F.spark_partition_id().cast("bigint")).drop("_tie"))
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(-(-rows // cell_rows), max(shuffle, -(-rows // RANGE_ROWS)))
+    keys = [*order, F.col("_tie")]
+    dealt = df.withColumn("_tie", tie_break(df)).repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    dealt = dealt.drop("_tie").withColumn("_at", F.monotonically_increasing_id())
+    row = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    cell = F.col("_at") - row + F.floor(row / F.lit(cell_rows)).cast("bigint")
+    return materialize(dealt.select(*df.columns, cell.alias("_cell")))
 
 
 def numbered(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 from pyspark.testing import assertDataFrameEqual
 
-from daymark.operators.hot import longest_run, rolling_sum, running_sum, split_by_ranges, split_hot
+from daymark.operators.hot import _borrowed_rows, longest_run, rolling_sum, running_sum, split_by_ranges, split_hot
 from daymark.operators.scan import numbered
 
 ORDER = ["name", "id"]
@@ -81,3 +81,19 @@ def test_rows_are_numbered_in_one_order(spark, texts, parts):
 
 def test_no_rows_have_no_numbers(spark, texts):
     assert numbered(texts.limit(0), [F.asc("id")], "n").collect() == []
+
+
+def test_cells_are_more_than_tasks(spark, texts):
+    cut = split_by_ranges(texts, ["k"], ORDER, 10).where("_hot")
+    placed = cut.select("_cell", F.spark_partition_id().alias("task"))
+    cells, tasks = placed.agg(F.countDistinct("_cell"), F.countDistinct("task")).first()
+    assert cells > 300 and tasks <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert cut.groupBy("_cell").count().agg(F.max("count")).first()[0] <= 2
+
+
+def test_a_cell_names_only_the_cells_that_borrow_from_it(spark, texts):
+    hot = split_by_ranges(texts, ["k"], ORDER, 40).where("_hot").cache()
+    borrowed = _borrowed_rows(hot, ["k"], ORDER, 29)
+    sizes = [r["count"] for r in hot.groupBy("k", "_cell").count().orderBy("k", "_cell").where("k = 'hot'").collect()]
+    before = [sum(sizes[:i]) for i in range(len(sizes))]
+    assert borrowed.where("k = 'hot'").count() == sum(min(29, n) for n in before)
