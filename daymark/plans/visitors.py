@@ -20,12 +20,13 @@ WINDOWS = {"daily": 1, "weekly": 7, "monthly": 28}
 def _stored(spark: SparkSession, folder: str, wide: bool = False) -> DataFrame:
     """The daily bitmaps per host, written and read back: all that the counts below see.
 
-    ``wide`` spreads the user numbers over a large range on both sides of zero.
+    ``wide`` spreads the user numbers over a large range on both sides of zero, and takes the
+    bitmaps for ids that lie far apart.
     """
     events, path = web_events(spark, folder), new_path(spark, "bitmaps")
     if wide:
         events = events.withColumn("user_id", F.col("user_id") * 1_000_003 - 75_000_000)
-    write_snapshot(daily_bitmaps(events, "user_id", "ts", ["host"]), path, "day")
+    write_snapshot(daily_bitmaps(events, "user_id", "ts", ["host"], spread=wide), path, "day")
     return read_parquet(spark, path)
 
 

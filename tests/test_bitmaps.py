@@ -78,3 +78,39 @@ def test_no_events(spark, events):
 def test_the_shuffle_carries_bitmaps_and_not_events(spark, events):
     plan = daily_bitmaps(events, "user", "ts")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_bitmap_construct_agg" in plan
+
+
+@pytest.fixture
+def spread(events):
+    return daily_bitmaps(events, "user", "ts", ["host"], spread=True)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_bitmaps_of_spread_ids_count_alike(spark, events, spread):
+    plain = daily_bitmaps(events, "user", "ts", ["host"])
+    df = spark.createDataFrame([(u, dt.datetime(2024, 1, 1)) for u in IDS + IDS + [63, 64, -64, -65]], "user long, ts timestamp_ntz")
+    assert count_distinct(daily_bitmaps(df, "user", "ts", spread=True)).first()["visitors"] == len(IDS) + 4
+    last, windows = FIRST + dt.timedelta(days=26), {"d1": 1, "d7": 7, "d28": 28}
+    week = F.to_date(F.date_trunc("week", F.col("day")))
+    for count in (
+        lambda b: count_distinct(b, ["host"]),
+        lambda b: count_distinct(merge_bitmaps(b, ["host"])),
+        lambda b: rolling_distinct(b, windows, FIRST, last, ["host"]),
+        lambda b: rolling_distinct(b, windows, FIRST, last),
+        lambda b: period_changes(b, week, F.date_add("w", 7), ["host"], "w"),
+        lambda b: period_changes(b, week, F.date_add("w", 7), out="w"),
+        lambda b: rolling_distinct(b.limit(0), windows, FIRST, FIRST),
+        lambda b: count_distinct(b.limit(0)),
+    ):
+        assert count(spread).schema.simpleString() == count(plain).schema.simpleString()
+        assert rows_of(count(spread)) == rows_of(count(plain))
+
+
+def test_bitmaps_of_spread_ids_are_small_and_merged_without_a_sort(spread):
+    assert spread.schema["bitmap"].dataType.simpleString() == "bigint"
+    week = F.to_date(F.date_trunc("week", F.col("day")))
+    changes = period_changes(spread, week, F.date_add("w", 7), out="w")
+    assert "Sort" not in changes._jdf.queryExecution().executedPlan().toString()
