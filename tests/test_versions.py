@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from daymark.sources.versions import (
+    FILE,
+    _located,
     delete_from,
     latest_version,
     publish,
@@ -119,3 +121,10 @@ def test_an_empty_run(spark, tmp_path, rules):
     publish(frame(spark, GOOD), path, rules, ["id"])
     done = publish(frame(spark, []), path, rules, ["id"], append=True)
     assert (done.version, done.accepted) == (2, 0) and rows(read_version(spark, path)) == GOOD
+
+
+def test_rows_meet_keys_without_the_names_of_their_files(spark, stored):
+    files = version_files(spark, stored)
+    located = _located(spark, files, ["id"])
+    assert [(c, t) for c, t in located.dtypes] == [("id", "bigint"), (FILE, "bigint")]
+    assert located.groupBy(FILE).count().count() == len(files) == 10
