@@ -56,6 +56,7 @@ def grouping_sets_rollup(
     sets: Mapping[str, Sequence[str]],
     sums: Mapping[str, str],
     distinct: Mapping[str, tuple[str, str, Column]] | None = None,
+    derived: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Sums over several grouping sets in one frame, each row labelled with its level.
 
@@ -63,10 +64,13 @@ def grouping_sets_rollup(
     output columns to (level, counted column, condition); the column is NULL on other
     levels. Levels with a distinct count are grouped on their own, because under GROUPING
     SETS every row would be copied for every set and once more for the distinct values;
-    the rest share one GROUPING SETS aggregation.
+    the rest share one GROUPING SETS aggregation. ``derived`` maps columns of the sets that
+    follow from the others of every set that has them, such as the name of an id, to their
+    expression; they are made from the sums, so that no hash map and no shuffle holds them.
     """
-    distinct = distinct or {}
-    columns = list(dict.fromkeys(c for cols in sets.values() for c in cols))
+    distinct, derived = distinct or {}, derived or {}
+    named, columns = sets, list(dict.fromkeys(c for cols in sets.values() for c in cols))
+    sets = {level: [c for c in cols if c not in derived] for level, cols in sets.items()}
     own = {level for level, _, _ in distinct.values()}
     parts = []
 
@@ -93,12 +97,14 @@ def grouping_sets_rollup(
             counts = {n: (c, cond) for n, (lv, c, cond) in distinct.items() if lv == level}
             parts.append(rollup_level(df, level, sets[level], sums, counts))
 
-    kinds = {c: df.schema[c].dataType for c in columns} | {n: "bigint" for n in distinct}
+    having = {c: [level for level in named if c in named[level]] for c in columns if c in derived}
+    made = {c: F.when(F.col("level").isin(*levels), derived[c]) for c, levels in having.items()}
+    kinds = {c: df.schema[c].dataType for c in columns if c not in derived} | {n: "bigint" for n in distinct}
     filled = []
     for part in parts:
         missing = {c: F.lit(None).cast(t) for c, t in kinds.items() if c not in part.columns}
         filled.append(
-            part.withColumns(missing).select("level", *columns, *sums, *distinct)
+            part.withColumns(missing).withColumns(made).select("level", *columns, *sums, *distinct)
         )
     result = filled[0]
     for part in filled[1:]:

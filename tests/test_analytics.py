@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 from pyspark.testing import assertDataFrameEqual
 
+from daymark.plans.analytics import grouping_sets_points
 from daymark.operators.analytics import (
     dedupe,
     duplicate_report,
@@ -258,3 +259,19 @@ def test_rolling_sums_of_large_numbers_do_not_overflow(spark):
     for max_rows in (1, 100):
         rows = rolling_sum(df, ["k"], ["o"], "v", 1, "s", max_rows=max_rows).collect()
         assert [r.s for r in rows] == [6 * 10**18] * 3
+
+
+def test_names_are_made_from_the_sums(spark):
+    rows = spark.createDataFrame([(1, 7, 5), (1, 8, 6), (None, 7, 1), (2, None, 2), (1, 7, None)], "player long, team long, pts int")
+    rows = rows.withColumn("name", F.concat(F.lit("P"), "player"))
+    sets = {"both": ["player", "name", "team"], "player": ["player", "name"], "team": ["team"]}
+    plain = grouping_sets_rollup(rows, sets, {"total": "pts"})
+    made = grouping_sets_rollup(rows, sets, {"total": "pts"}, derived={"name": F.concat(F.lit("P"), "player"), "other": F.lit(0)})
+    assert made.schema == plain.schema
+    assert sorted(map(tuple, made.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_names_and_rows_without_wins_are_not_shuffled(spark, sf_dir):
+    plan = grouping_sets_points(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Aggregate(" in line and ("_name" in line or "abbreviation" in line)]
+    assert shuffles == [] and "Sort [level" not in plan and "hashpartitioning(level" not in plan
