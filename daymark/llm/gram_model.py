@@ -29,11 +29,13 @@ FIT_ROWS = 16_000
 #: Labels up to this many rows may be sent to all executors; larger tables are shuffled.
 BROADCAST_LABELS = 2_000_000
 CHUNK = 1 << 14
+#: Features of texts that a step of the regression multiplies at once.
+ENTRIES = 1 << 17
 #: Tasks whose arrays of counts are added up in one task; what they give is summed by bucket.
 TOGETHER = 256
 
 
-def text_chunks(texts: pa.Array, most: int = 1 << 20):
+def text_chunks(texts: pa.Array, most: int = 1 << 19):
     """(first row, padded lower-case texts) of about ``most`` characters each; nulls are empty."""
     held, size, first = [], 0, 0
     for some in range(0, len(texts), 256):
@@ -161,24 +163,44 @@ def _chosen(batches, index, bits):
             at = index[bucket]
             row, at = row[at >= 0], at[at >= 0]
             bounds = np.searchsorted(row, np.arange(len(texts) + 1))
-            yield pa.RecordBatch.from_arrays([K.long_lists(at.astype(np.int64), bounds), batch.column(1)[first : first + len(texts)]], ["features", "label"])
+            yield pa.RecordBatch.from_arrays([K.long_lists(at, bounds), batch.column(1)[first : first + len(texts)]], ["features", "label"])
 
 
 def logistic(rows, cols, values, labels, width, ridge=1e-4, rounds=300):
+    """Weights and constant of ridge logistic regression; ``rows`` is sorted."""
+    bounds = np.searchsorted(rows, np.arange(len(labels) + 1))
+    return regression(bounds, cols, lambda i, j: values[i:j], labels, width, ridge, rounds)
+
+
+def regression(bounds, cols, values, labels, width, ridge=1e-4, rounds=300):
     """Weights and constant of ridge logistic regression by accelerated gradient steps.
 
-    ``rows`` is sorted. The step comes from the largest eigenvalue, found by power iteration.
+    Row k has the entries from ``bounds[k]`` to ``bounds[k + 1]``: their columns are in ``cols``,
+    their values are given by ``values(first, last)``. A step takes ``ENTRIES`` of them at a
+    time, and adds them up in the same order as one sum over all would. The step's length comes
+    from the largest eigenvalue, found by power iteration.
     """
     n = len(labels)
-    bounds = np.searchsorted(rows, np.arange(n + 1))
+    parts = [(i, min(i + ENTRIES, len(cols))) for i in range(0, len(cols), ENTRIES)]
 
     def forward(w):
-        total = np.concatenate([[0.0], np.cumsum(values * w[cols])])
-        return total[bounds[1:]] - total[bounds[:-1]] + w[width]
+        total, sum_so_far = np.zeros(n + 1), 0.0
+        for i, j in parts:
+            running = np.cumsum(np.concatenate([[sum_so_far], values(i, j) * w[cols[i:j]]]))
+            some = slice(np.searchsorted(bounds, i), np.searchsorted(bounds, j, "right"))
+            total[some] = running[bounds[some] - i]
+            sum_so_far = running[-1]
+        return total[1:] - total[:-1] + w[width]
 
     def backward(g):
-        out = np.empty(width + 1)
-        out[:width] = np.bincount(cols, values * g[rows], width)
+        out = np.zeros(width + 1)
+        for i, j in parts:
+            first, last = np.searchsorted(bounds, i, "right") - 1, np.searchsorted(bounds, j)
+            each = np.repeat(g[first:last], np.diff(np.clip(bounds[first : last + 1], i, j)))
+            # The sums so far come first, so that every column is added up in order.
+            out[:width] = np.bincount(
+                np.concatenate([np.arange(width), cols[i:j]]), np.concatenate([out[:width], values(i, j) * each]), width
+            )
         out[width] = g.sum()
         return out / n
 
@@ -204,17 +226,17 @@ def logistic(rows, cols, values, labels, width, ridge=1e-4, rounds=300):
 
 
 def _fitted(batches, ratios):
-    lists, labels = [], []
+    lists, sizes, labels = [], [], []
     for batch in batches:
-        lists += [batch.column(0).flatten().to_numpy()]
-        sizes = np.diff(batch.column(0).offsets.to_numpy())
-        labels.append(np.stack([sizes, batch.column(1).to_numpy(zero_copy_only=False)], 1))
+        lists.append(batch.column(0).flatten().to_numpy().astype(np.int32))
+        sizes.append(np.diff(batch.column(0).offsets.to_numpy()))
+        labels.append(batch.column(1).to_numpy(zero_copy_only=False).astype(float))
     if not labels:
         return
-    labels = np.concatenate(labels)
-    cols = np.concatenate(lists).astype(np.int64)
-    rows = np.repeat(np.arange(len(labels)), labels[:, 0].astype(np.int64))
-    weights, bias = logistic(rows, cols, ratios[cols], labels[:, 1].astype(float), len(ratios))
+    cols = np.concatenate(lists)
+    lists.clear()
+    bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+    weights, bias = regression(bounds, cols, lambda i, j: ratios[cols[i:j]], np.concatenate(labels), len(ratios))
     yield pa.RecordBatch.from_arrays([pa.array([weights.tolist()]), pa.array([float(bias)])], ["weights", "bias"])
 
 
@@ -266,7 +288,7 @@ def fit(
 
     fitted = (
         chosen.select("text", F.col("label").cast("int"))
-        .mapInArrow(lists, "features array<long>, label int")
+        .mapInArrow(lists, "features array<int>, label int")
         .repartition(1)
         .mapInArrow(partial(_fitted, ratios=ratios), "weights array<double>, bias double")
         .first()

@@ -25,6 +25,9 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+#: Bytes of text that are hashed at once, unless a row is longer.
+PIECE = 1 << 19
+
 _powers = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
 
 
@@ -107,12 +110,7 @@ def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
     return span(running(LOWER[data]), begin, end)
 
 
-def shingles(data: np.ndarray, starts: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of the distinct word shingles, sorted by both.
-
-    A row with fewer than ``size`` words has its whole sequence as one shingle, a row without
-    words has none.
-    """
+def _shingles(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     begin, end, row = words(data, starts)
     hashes = word_hashes(data, begin, end)
     rows, hashed = [], []
@@ -143,6 +141,21 @@ def shingles(data: np.ndarray, starts: np.ndarray, size: int = 5) -> tuple[np.nd
     return rows[new], hashed[new]
 
 
+def shingles(data: np.ndarray, starts: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of the distinct word shingles, sorted by both.
+
+    A row with fewer than ``size`` words has its whole sequence as one shingle, a row without
+    words has none. Rows are hashed in pieces of ``PIECE`` bytes, since the hashes of a text's
+    bytes take many times its memory.
+    """
+    rows, hashed = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
+    for first, last in slices(starts, PIECE):
+        row, some = _shingles(data[starts[first] : starts[last]], starts[first : last + 1] - starts[first], size)
+        rows.append(row + first)
+        hashed.append(some)
+    return np.concatenate(rows), np.concatenate(hashed)
+
+
 def sums(rows: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
     """Sum of ``values`` (mod 2**64) for each of ``count`` rows; ``rows`` is sorted."""
     total = np.concatenate([np.zeros(1, U64), np.cumsum(values, dtype=U64)])
@@ -162,5 +175,5 @@ def binary_rows(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def long_lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """A list<long> column from flat values."""
+    """A list column of whole numbers from flat values."""
     return pa.ListArray.from_arrays(pa.array(np.asarray(bounds, np.int32)), pa.array(signed(values) if values.dtype == U64 else values))

@@ -1,0 +1,51 @@
+"""Memory of single tasks: pieces of texts and of the regression give the same as the whole."""
+
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+
+from daymark.llm import gram_model as G
+from daymark.llm import kernels as K
+
+
+def peak(f):
+    tracemalloc.start()
+    try:
+        return f(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def texts():
+    rng = np.random.default_rng(5)
+    some = [" ".join(rng.choice(["a", "bc", "def", "ghij"], rng.integers(0, 300))) for _ in range(4000)]
+    return pa.array([*some, None, "", "one", "x y z", *some[:50]])
+
+
+def test_shingles_hash_a_slice_in_pieces(monkeypatch):
+    data, starts = K.packed(texts())
+    (rows, hashed), used = peak(lambda: K.shingles(data, starts))
+    assert len(data) > 2_000_000 and used < 25 * len(data)
+    for piece in (1, 1000, 1 << 30):
+        monkeypatch.setattr(K, "PIECE", piece)
+        again = K.shingles(data, starts)
+        assert (again[0] == rows).all() and (again[1] == hashed).all()
+
+
+def test_regression_multiplies_some_entries_at_a_time(monkeypatch):
+    rng = np.random.default_rng(6)
+    sizes = rng.integers(0, 900, 600)
+    cols = rng.integers(0, 64, sizes.sum())
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    labels = rng.random(600) < 0.3
+    ratios = rng.normal(size=64)
+    lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(cols, pa.int32()))
+    batch = pa.RecordBatch.from_arrays([lists, pa.array(labels.astype(np.int32))], ["features", "label"])
+    fitted = []
+    for entries in (1 << 12, 1 << 30):
+        monkeypatch.setattr(G, "ENTRIES", entries)
+        (out,), used = peak(lambda: list(G._fitted([batch], ratios)))
+        fitted.append((out.column(0).to_pylist(), out.column(1).to_pylist(), used))
+    assert fitted[0][:2] == fitted[1][:2]
+    assert fitted[0][2] < 12 * len(cols) < fitted[1][2]
