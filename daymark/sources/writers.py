@@ -112,13 +112,71 @@ def bucket_write(
     writer.saveAsTable(name)
 
 
+# Rows that one task of a sorted write sorts, about; bytes that it packs at once.
+RANGE_ROWS = 100_000
+PACK_BYTES = 64 << 20
+
+
 def sorted_write(df: DataFrame, path: str, sort_by: str, partitions: int | None = None) -> None:
     """Write evenly sized files sorted inside by one column.
 
-    The number of files is that of the session's shuffles unless ``partitions`` is given.
+    The number of files is that of the session's shuffles unless ``partitions`` is given. A file
+    is written by one task, so rows are sorted before, in ranges of the column whose number
+    follows the rows, which are counted first. A range is dealt out to all files; a file gets
+    from each a few rows that hold many, packed and compressed by Arrow, and puts these in order.
     """
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(partitions).sortWithinPartitions(sort_by).write.mode("overwrite").parquet(path)
+    ranges = max(1, -(-df.count() // RANGE_ROWS))
+    # Frequent values are cut by the other columns; maps and variants have no hash.
+    hashed = [F.col(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = df.withColumn("_tie", F.xxhash64(*hashed)).repartitionByRange(ranges, sort_by, "_tie")
+    rows = rows.sortWithinPartitions(sort_by, "_tie").drop("_tie")
+    packed = rows.mapInArrow(_packed(partitions, PACK_BYTES), "file int, rows binary")
+    # The number of a packed row rises with its range and its place in it.
+    dealt = packed.withColumn("at", F.monotonically_increasing_id())
+    dealt = dealt.repartitionById(partitions, F.col("file")).sortWithinPartitions("at")
+    dealt.select("rows").mapInArrow(_unpacked(), df.schema).write.mode("overwrite").parquet(path)
+
+
+def _packed(files: int, most: int):
+    """Deals the rows of a task to files in turn: one packed row for a file and ``most`` bytes."""
+
+    def packed(batches):
+        import pyarrow as pa
+
+        def dealt(held):
+            table = pa.Table.from_batches(held).combine_chunks()
+            for file in range(min(files, table.num_rows)):
+                sink = pa.BufferOutputStream()
+                options = pa.ipc.IpcWriteOptions(compression="zstd")
+                with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
+                    writer.write_table(table.take(pa.array(range(file, table.num_rows, files))))
+                rows = pa.array([sink.getvalue().to_pybytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([file], pa.int32()), rows], ["file", "rows"])
+
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= most:
+                yield from dealt(held)
+                held, size = [], 0
+        if held:
+            yield from dealt(held)
+
+    return packed
+
+
+def _unpacked():
+    def unpacked(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for rows in batch.column(0):
+                with pa.ipc.open_stream(rows.as_buffer()) as reader:
+                    yield from reader
+
+    return unpacked
 
 
 # Rows per JDBC statement batch.

@@ -138,6 +138,32 @@ def test_sorted_files_and_their_report(spark, tmp_path):
     assert [r.a for r in assert_sorted] == sorted(r.a for r in assert_sorted)
 
 
+def test_sorted_files_come_from_ranges_that_are_sorted_apart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "RANGE_ROWS", 700)
+    monkeypatch.setattr(writers, "PACK_BYTES", 1)
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 11 > 0, F.col("id") % 3).alias("few"),
+        (F.col("id") * 7919 % 6000).cast("string").alias("many"),
+        F.expr("CASE WHEN id % 5 > 0 THEN map('k', id) END").alias("m"),
+        F.expr("timestamp_seconds(id)").alias("t"),
+        F.expr("array(named_struct('x', id, 'y', null))").alias("s"),
+    )
+    df = df.union(df.where("few = 1"))
+    rows = sorted(map(str, df.collect()))
+    for name in ("few", "many"):
+        path = tmp_path / name
+        writers.sorted_write(df, str(path), name, 8)
+        files = [spark.read.parquet(str(f)).collect() for f in path.glob("part-*")]
+        assert len(files) == 8 and max(map(len, files)) - min(map(len, files)) <= 20
+        for part in files:
+            values = [(r[name] is not None, r[name]) for r in part]
+            assert values == sorted(values)
+        assert sorted(str(r) for part in files for r in part) == rows
+    writers.sorted_write(df.where("few = 9"), str(tmp_path / "none"), "few", 8)
+    none = spark.read.parquet(str(tmp_path / "none"))
+    assert none.schema.fieldNames() == df.columns and none.count() == 0
+
+
 def test_jdbc_options():
     options = writers.jdbc_options("jdbc:postgresql://db/x", "sessions", "u", "p")
     assert options["batchsize"] == "500" and options["dbtable"] == "sessions"
