@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .store import tidy
 
 BITS = 20
 SIZES = (4, 5)
@@ -149,7 +150,7 @@ def count_grams(rows: DataFrame, classes: int = 2, bits: int = BITS) -> DataFram
 
     All rows are counted; buckets in fewer than three texts are left out.
     """
-    sent = rows.select("text", F.col("label").cast("int")).mapInArrow(partial(_counts, bits=bits, classes=classes), "chunk int, some int, counts binary")
+    sent = rows.select("text", F.col("label").cast("int")).mapInArrow(tidy(partial(_counts, bits=bits, classes=classes)), "chunk int, some int, counts binary")
     names = [f"n{k}" for k in range(classes)]
     schema = "bucket long, " + ", ".join(f"{n} long" for n in names)
     sums = sent.groupBy("chunk", "some").applyInArrow(lambda t: _chunk_sums(t, bits, classes), schema)
@@ -288,9 +289,9 @@ def fit(
 
     fitted = (
         chosen.select("text", F.col("label").cast("int"))
-        .mapInArrow(lists, "features array<int>, label int")
+        .mapInArrow(tidy(lists), "features array<int>, label int")
         .repartition(1)
-        .mapInArrow(partial(_fitted, ratios=ratios), "weights array<double>, bias double")
+        .mapInArrow(tidy(partial(_fitted, ratios=ratios)), "weights array<double>, bias double")
         .first()
     )
     shared.destroy()
@@ -322,4 +323,4 @@ def with_odds(docs: DataFrame, models: list[GramModel], keep: tuple = ("doc_id",
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(scored, f"{kept}, odds array<double>" + ", n_tokens long" * tokens)
+    return rows.mapInArrow(tidy(scored), f"{kept}, odds array<double>" + ", n_tokens long" * tokens)

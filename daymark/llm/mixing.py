@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .gram_model import FIT_ROWS, count_grams, fit, labelled, odds, sigmoid, text_chunks, with_odds
-from .store import written
+from .store import tidy, written
 from .toxicity import fold
 
 DOMAINS = ("good", "poor", "toxic")
@@ -185,4 +185,4 @@ def mixed(
                 yield pa.RecordBatch.from_arrays([c.take(rows) for c in batch.columns[:-1]], names)
 
     # The draw is the last column, whatever the others are called.
-    return docs.select("*", chance.alias("mixing draw")).mapInArrow(dealt, docs.schema)
+    return docs.select("*", chance.alias("mixing draw")).mapInArrow(tidy(dealt), docs.schema)

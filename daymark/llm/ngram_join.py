@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shingle_sets import alone_counts, sets
-from .store import written
+from .store import tidy, written
 
 #: Tokens that one trie holds at most, unless a single set has more.
 TRIE_TOKENS = 2_000_000
@@ -283,7 +283,7 @@ def set_links(rows: DataFrame, docs: DataFrame, size: int, share: int, buckets:
         "node", "n", "copies", "own", "f", "token",
     )
     dealt = inside.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
-    return written(dealt.mapInArrow(partial(_joined, share=share), "u long, v long, links long"), "set_links")
+    return written(dealt.mapInArrow(tidy(partial(_joined, share=share)), "u long, v long, links long"), "set_links")
 
 
 def ngram_components(

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .store import tidy
 
 #: Two sums over differently mixed hashes name a set with 128 bits.
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -39,7 +40,7 @@ def _sets(batches, size, tokens):
 def sets(docs: DataFrame, size: int, tokens: bool = False) -> DataFrame:
     """doc_id, n (distinct shingles), a and b (128 bits that name the set), maybe the hashes."""
     schema = "doc_id long, n long, a long, b long" + ", tokens array<long>" * tokens
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(partial(_sets, size=size, tokens=tokens), schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(partial(_sets, size=size, tokens=tokens)), schema)
 
 
 ENTRY = "bucket int, slice long, kind int, codes binary, owners binary"
@@ -149,7 +150,7 @@ def alone_counts(docs: DataFrame, size: int, buckets: int) -> DataFrame:
     a chance agreement only makes ``alone`` smaller, and so does a slice that is made again
     after a loss from rows in another order. Sets in several rows have nothing alone.
     """
-    sent = docs.select("text").mapInArrow(partial(_entries, size=size, buckets=buckets), ENTRY)
+    sent = docs.select("text").mapInArrow(tidy(partial(_entries, size=size, buckets=buckets)), ENTRY)
     replies = sent.groupBy("bucket").applyInArrow(_alone, REPLY)
     counted = replies.groupBy("slice").applyInArrow(_summed, "node long, alone long")
     return counted.groupBy("node").agg(F.min("alone").alias("alone"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from daymark.session import new_path
 
 from . import simple8b
+from .store import tidy
 
 #: Ids after which a segment is closed; a document is never split.
 SEGMENT_IDS = 1 << 19
@@ -26,6 +27,8 @@ END = 2
 REMEMBERED = 48 << 20
 #: Bytes of text that are encoded in one step; a longer text is a step of its own.
 STEP = 8 << 20
+#: Words whose ids are looked up at once.
+WORDS = 1 << 17
 SCHEMA = "part int, seq int, docs long, ids long, data binary"
 
 _words: dict = {}
@@ -55,10 +58,12 @@ class WordTable:
 
     def gathered(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the words ``rows`` one after the other, how many each has)."""
-        starts, sizes = (np.cumsum(self.sizes) - self.sizes)[rows], self.sizes[rows]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)], sizes
+        starts, sizes, found = np.cumsum(self.sizes) - self.sizes, self.sizes[rows], [np.zeros(0, np.uint32)]
+        for k in range(0, len(rows), WORDS):
+            some = sizes[k : k + WORDS]
+            ends = np.cumsum(some)
+            found.append(self.ids[np.repeat(starts[rows[k : k + WORDS]] - (ends - some), some) + np.arange(ends[-1])])
+        return np.concatenate(found), sizes
 
 
 class WordTokenizer:
@@ -187,7 +192,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, segment_ids: int = SEG
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(encoded, SCHEMA).write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(tidy(encoded), SCHEMA).write.option("compression", "none").parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str, listed: bool = False) -> DataFrame:
@@ -220,7 +225,7 @@ def read_ids(spark: SparkSession, path: str, listed: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * listed
-    return joined.mapInArrow(decoded, schema)
+    return joined.mapInArrow(tidy(decoded), schema)
 
 
 def token_ids(docs: DataFrame, tokenizer: str, segment_ids: int = SEGMENT_IDS, listed: bool = False) -> DataFrame:

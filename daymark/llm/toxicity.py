@@ -56,6 +56,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     import pyarrow as pa
 
     from .gram_model import odds, text_chunks
+    from .store import tidy
 
     shared = docs.sparkSession.sparkContext.broadcast([train(docs, labels, fit_rows)])
     place = docs.columns.index("text")
@@ -66,4 +67,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
             if low:
                 yield batch.filter(pa.array(np.concatenate(low)))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(tidy(kept), docs.schema)

@@ -1,12 +1,16 @@
 """Memory of single tasks: pieces of texts and of the regression give the same as the whole."""
 
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from daymark.llm import gram_model as G
 from daymark.llm import kernels as K
+from daymark.llm import store, token_ids
 
 
 def peak(f):
@@ -49,3 +53,63 @@ def test_regression_multiplies_some_entries_at_a_time(monkeypatch):
         fitted.append((out.column(0).to_pylist(), out.column(1).to_pylist(), used))
     assert fitted[0][:2] == fitted[1][:2]
     assert fitted[0][2] < 12 * len(cols) < fitted[1][2]
+
+
+def test_batches_of_long_rows_are_bounded(spark):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(limit)
+    store.ship(spark)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    rows = spark.range(0, 8_000, 1, 1).select(F.expr("repeat(cast(id % 10 as string), 4000)").alias("text"))
+    found = rows.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in found) == 8_000
+    assert max(r["size"] for r in found) < 1.1 * store.BATCH_BYTES
+
+    spark.conf.set(limit, "1m")
+    store.ship(spark)
+    assert spark.conf.get(limit) == "1m"
+    spark.conf.unset(limit)
+
+
+@pytest.mark.skipif(not Path("/proc/self/statm").exists(), reason="reads Linux's /proc")
+def test_workers_give_memory_back():
+    kept = []
+
+    def resident():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * 4096
+
+    def work(batches):
+        # The last piece lies above the others, which alone does not let them go.
+        pieces = [bytes([k % 256]) * 100_000 for k in range(2_000)]
+        kept.append(pieces[-1])
+        del pieces
+        yield from batches
+
+    def left(job):
+        before = resident()
+        assert list(job(iter([1, 2]))) == [1, 2]
+        return resident() - before
+
+    assert left(store.tidy(work)) < 50_000_000 < left(work)
+
+
+def test_ids_of_words_are_gathered_in_pieces(monkeypatch):
+    rng = np.random.default_rng(7)
+    table = token_ids.WordTable()
+    sizes = rng.integers(0, 5, 500)
+    table.add(pa.array([str(k) for k in range(500)]), rng.integers(0, 1 << 15, sizes.sum()).astype(np.uint32), sizes)
+    rows = rng.integers(0, 500, 100_000)
+    found = []
+    for words in (1_000, 1 << 30):
+        monkeypatch.setattr(token_ids, "WORDS", words)
+        found.append(peak(lambda: table.gathered(rows)))
+    (few, few_used), (whole, whole_used) = found
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(few, whole, strict=True))
+    starts = np.cumsum(sizes) - sizes
+    assert few[0].tolist() == [i for k in rows for i in table.ids[starts[k] : starts[k] + sizes[k]].tolist()]
+    assert few_used < 0.6 * whole_used
+    assert [len(a) for a in table.gathered(rows[:0])] == [0, 0]
